@@ -11,6 +11,8 @@ from wickline.functions import DAY_US, MINUTE_US, SECOND_US, bucket_start
 
 FALLBACK_SECONDS = 300  # fixed value: the window used when no gap exists
 
+_BLOCK_BITS = 22  # a gap of epoch microseconds has at most 44 bits of seconds
+
 
 def _gaps_within(runs: DataFrame, *groups: str) -> DataFrame:
     before = F.lag("last").over(Window.partitionBy(*groups).orderBy("first"))
@@ -48,22 +50,22 @@ def source_interval(df: DataFrame) -> DataFrame:
 
     It is the exact discrete median of all gaps over all symbols, rounded half-even, at least 1.
     Rounding keeps the order, so the median is taken over rounded seconds: a histogram, counted
-    before the shuffle. The median is then located digit by digit: 2^15 buckets per step are the most
-    a step can have, whatever the gaps, and only the chosen bucket is refined further.
+    before the shuffle. The median is then located in two steps, first its block of 2^22 seconds, then
+    the second inside that block, so that neither running count exceeds 2^22 rows whatever the gaps.
     """
     seconds = F.greatest(F.bround(F.col("interval_us") / SECOND_US, 0), F.lit(1.0)).cast("bigint")
     counts = interval_gaps(df).groupBy(seconds.alias("seconds")).agg(F.count("*").alias("n"))
 
     chosen = None
-    for shift in (30, 15, 0):
+    for shift in (_BLOCK_BITS, 0):
         prefix = F.shiftright("seconds", shift).alias("prefix")
         if chosen is None:
             inside = counts.select(prefix, "n", F.lit(None).cast("bigint").alias("rank"))
         else:
-            parent = F.shiftright("seconds", shift + 15) == F.col("parent")
+            parent = F.shiftright("seconds", _BLOCK_BITS) == F.col("parent")
             one_row = chosen.select(F.col("prefix").alias("parent"), "rank")
             inside = counts.join(F.broadcast(one_row), parent).select(prefix, "n", "rank")
-        upto = Window.orderBy("prefix")  # at most 2^15 rows
+        upto = Window.orderBy("prefix")  # at most 2^22 rows, usually a handful
         steps = (
             inside.groupBy("prefix")
             .agg(F.sum("n").alias("n"), F.max("rank").alias("rank"))

@@ -110,7 +110,7 @@ def upsert(
     with staged(conform(source, schema), "upsert") as batch:
         if not unique:
             _check_keys(batch, keys)
-        if table_exists(spark, path, schema):
+        if table_exists(spark, path):
             table = read_table(spark, path, schema)
             touched = restrict(table, batch, partitions, partitions)
             kept = touched.join(batch.select(*keys), keys, "left_anti")

@@ -56,9 +56,11 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _drop(spark, path)
+        folder, files = hadoop_path(spark, path)
+        files.delete(folder, True)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """``path`` and the file system it is on, whatever the store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wickline.schemas import GOLD, METADATA, SILVER
+from wickline.session import hadoop_path
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -15,14 +14,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def table_exists(spark: SparkSession, path: str, schema: StructType) -> bool:
-    try:
-        read_table(spark, path, schema)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+def table_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = hadoop_path(spark, path)
+    return files.exists(folder)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
