@@ -21,6 +21,7 @@ _RESOLUTION = r"/raw/[^/]+/(?:resolution=)?([^/]+)/"
 
 
 def _decoded(path: Column) -> Column:
+    """A file path as it is on disk; the scan metadata gives it percent-encoded."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
@@ -123,7 +124,6 @@ def _archives(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", _file_glob(date_pattern, suffix))
         .load(_folders(spark, root, symbols, resolution))
-        .withColumn("path", _decoded(F.col("path")))
     )
     stem = F.regexp_replace("path", r"\.[^./]+$", "")
     return _in_scope(files, symbols, resolution).withColumn("stem", stem)
