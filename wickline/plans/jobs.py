@@ -139,6 +139,8 @@ def run_pipeline(
     gold: str,
     metadata: str,
     batch_date: date | str | None = None,
+    window_seconds: int | None = None,
+    skip_validation: bool = False,
     skip_optimize: bool = False,
     **scope,
 ) -> date:
@@ -149,5 +151,5 @@ def run_pipeline(
     day = yesterday() if batch_date is None else as_date(batch_date)
     ingest(spark, raw, bronze, day, **scope)
     refine(spark, bronze, silver, metadata, day)
-    aggregate(spark, silver, gold, day, skip_optimize=skip_optimize)
+    aggregate(spark, silver, gold, day, window_seconds, skip_validation, skip_optimize)
     return day
