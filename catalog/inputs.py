@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.operators import dedup, ohlcv, to_silver
-from wickline.schemas import BRONZE, METADATA, RAW, conform
+from wickline.schemas import BRONZE, RAW
 
 _DIMENSION = [("CLICK", "Click"), ("ERROR", "Error"), ("VIEW", "View"), ("PURCHASE", "Purchase")]
 
@@ -21,55 +21,54 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _candles(df: DataFrame) -> DataFrame:
-    """Complete the derived columns that both inputs share."""
-    return conform(
-        df,
-        BRONZE,
-        high=F.greatest("open", "close"),
-        low=F.greatest(F.least("open", "close"), F.lit(0.0)),
-        close_time=F.col("open_time") + 59_999_999,
-        quote_asset_volume=F.col("volume") * 4,
-        taker_buy_base=F.col("volume") / 2,
-        taker_buy_quote=F.col("volume") * 2,
-        ignore=F.lit(0),
-    )
+def _candles(rows: DataFrame, **base: str) -> DataFrame:
+    """All bronze columns from SQL for the base ones, in one projection."""
+    derived = {
+        "high": "greatest({open}, {close})",
+        "low": "greatest(least({open}, {close}), 0D)",
+        "close_time": "{open_time} + 59999999",
+        "quote_asset_volume": "{volume} * 4",
+        "taker_buy_base": "{volume} / 2",
+        "taker_buy_quote": "{volume} * 2",
+        "ignore": "0L",
+    }
+    sql = base | {name: text.format(**base) for name, text in derived.items()}
+    return rows.selectExpr(*[f"{sql[name]} AS {name}" for name in BRONZE.names])
 
 
 def klines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows from ``events``: symbol = event type, minute candles, some repeated keys."""
     return _candles(
-        _table(spark, sf_dir, "events").selectExpr(
-            "unix_micros(cast(ts AS timestamp)) div 60000000 * 60000000 AS open_time",
-            "value AS open",
-            "value + (user_id % 7 - 3) * 0.25D AS close",
-            "cast(1 + event_id % 50 AS double) AS volume",
-            "1 + event_id % 9 AS num_trades",
-            "upper(event_type) AS symbol",
-            "cast(ts AS date) AS ingestion_date",
-        )
+        _table(spark, sf_dir, "events"),
+        open_time="(unix_micros(cast(ts AS timestamp)) div 60000000 * 60000000)",
+        open="value",
+        close="(value + (user_id % 7 - 3) * 0.25D)",
+        volume="cast(1 + event_id % 50 AS double)",
+        num_trades="(1 + event_id % 9)",
+        symbol="upper(event_type)",
+        ingestion_date="cast(ts AS date)",
     )
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows from ``lineitem``: symbol = supplier, one-second candles, many symbols."""
     return _candles(
-        _table(spark, sf_dir, "lineitem").selectExpr(
-            "unix_micros(cast(l_shipdate AS timestamp))"
-            " + (l_orderkey * 8 + l_linenumber) % 86400 * 1000000 AS open_time",
-            "l_extendedprice AS open",
-            "l_extendedprice * (1 - l_discount) AS close",
-            "l_quantity AS volume",
-            "cast(l_linenumber AS bigint) AS num_trades",
-            "concat('S', l_suppkey) AS symbol",
-            "cast(l_shipdate AS date) AS ingestion_date",
-        )
+        _table(spark, sf_dir, "lineitem"),
+        open_time="(unix_micros(cast(l_shipdate AS timestamp))"
+        " + (l_orderkey * 8 + l_linenumber) % 86400 * 1000000)",
+        open="l_extendedprice",
+        close="(l_extendedprice * (1 - l_discount))",
+        volume="l_quantity",
+        num_trades="cast(l_linenumber AS bigint)",
+        symbol="concat('S', l_suppkey)",
+        ingestion_date="cast(l_shipdate AS date)",
     )
 
 
 def dimension(spark: SparkSession) -> DataFrame:
     """Names for all symbols of ``klines`` but SIGNUP."""
-    return spark.createDataFrame(_DIMENSION, METADATA)
+    rows = ", ".join(f"({symbol!r}, {name!r})" for symbol, name in _DIMENSION)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS d(symbol, name)")
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -446,7 +446,12 @@ def window_labels(spark, sf):
 
 
 def _ask(spark: SparkSession, sf: str, sql: str, **more) -> DataFrame:
-    sources.register_views(spark, I.silver(spark, sf), I.gold(spark, sf))
+    from_silver = "silver_klines" in sql
+    sources.register_views(
+        spark,
+        silver=I.silver(spark, sf) if from_silver else None,
+        gold=None if from_silver else I.gold(spark, sf),
+    )
     return plans.ask_sql(spark, sql, **more)
 
 

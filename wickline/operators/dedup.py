@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from wickline.schemas import SILVER_KEYS
 
@@ -14,9 +13,12 @@ def dedup(
     """One row per key: the newest by ``newest_first``, ties broken by every other column.
 
     Spark keeps one candidate per key in each map task before the shuffle (``WindowGroupLimit``), so
-    a key with very many copies sends only one row per task.
+    a key with very many copies sends only one row per task. Text keys come last in the sort: rows
+    are mostly told apart by the leading time, without comparing strings.
     """
+    kinds = dict(df.dtypes)
     rest = [c for c in df.columns if c not in keys and c not in newest_first]
-    order = [F.col(c).desc_nulls_last() for c in (*newest_first, *rest)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    parts = ", ".join(f"`{c}`" for c in sorted(keys, key=lambda c: kinds[c] == "string"))
+    order = ", ".join(f"`{c}` DESC NULLS LAST" for c in (*newest_first, *rest))
+    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {parts} ORDER BY {order}) AS _rank")
+    return ranked.filter("_rank = 1").drop("_rank")

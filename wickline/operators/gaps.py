@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickline.functions import DAY_US, MINUTE_US, SECOND_US, bucket_start
+from wickline.functions import HOUR_US, SECOND_US, bucket_start
 
 FALLBACK_SECONDS = 300  # fixed value: the window used when no gap exists
 
@@ -21,23 +21,24 @@ def _gaps_within(runs: DataFrame, *groups: str) -> DataFrame:
     )
 
 
-def interval_gaps(df: DataFrame, spans: tuple[int, ...] = (MINUTE_US, DAY_US)) -> DataFrame:
+def interval_gaps(df: DataFrame, spans: tuple[int, ...] = (HOUR_US,)) -> DataFrame:
     """Positive gaps to the previous candle of the same symbol, as ``symbol, open_time, interval_us``.
 
     Expects at most one row per ``(symbol, open_time)``. One window per symbol would put a symbol's
-    whole history in one task. Instead rows are windowed inside short time slots; each slot then
-    stands as one run (first and last time) in the next longer slot, and so on up to the symbol. Every
-    gap appears once: inside a slot, or between two neighbouring slots. A task holds one slot's rows
-    or one symbol's slots, and each level shuffles once (the runs reuse the slot partitioning).
+    whole history in one task. Instead rows are windowed inside time slots of ``spans[0]``; each slot
+    then stands as one run (first and last time) inside the next longer span, and finally inside the
+    symbol. Every gap appears once: inside a slot, or between two neighbouring slots. Candles are
+    whole seconds apart, so an hour holds at most 3,600 rows and a symbol 8,784 runs a year; for finer
+    data, pass a shorter span first. Each level shuffles once (the runs reuse the slot partitioning).
     """
     time = F.col("open_time")
     runs = df.filter(time.isNotNull()).select("symbol", time.alias("first"), time.alias("last"))
     found = []
     for span in spans:
-        slots = runs.withColumn("slot", bucket_start("first", span)).repartition("symbol", "slot")
-        found.append(_gaps_within(slots, "symbol", "slot"))
+        slots = runs.withColumn("slot", bucket_start("first", span)).repartition("slot", "symbol")
+        found.append(_gaps_within(slots, "slot", "symbol"))
         runs = (
-            slots.groupBy("symbol", "slot")
+            slots.groupBy("slot", "symbol")
             .agg(F.min("first").alias("first"), F.max("last").alias("last"))
             .drop("slot")
         )
@@ -53,7 +54,7 @@ def source_interval(df: DataFrame) -> DataFrame:
     before the shuffle. The median is then located in two steps, first its block of 2^22 seconds, then
     the second inside that block, so that neither running count exceeds 2^22 rows whatever the gaps.
     """
-    seconds = F.greatest(F.bround(F.col("interval_us") / SECOND_US, 0), F.lit(1.0)).cast("bigint")
+    seconds = F.greatest(F.bround(F.col("interval_us") / SECOND_US, 0).cast("bigint"), F.lit(1))
     counts = interval_gaps(df).groupBy(seconds.alias("seconds")).agg(F.count("*").alias("n"))
 
     chosen = None

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -47,11 +46,6 @@ GOLD_KEYS = ["symbol", "timestamp"]
 def conform(df: DataFrame, schema: T.StructType, **given: Column) -> DataFrame:
     """Project ``df`` to exactly ``schema``: its columns, its order, its types.
 
-    ``given`` supplies columns that ``df`` does not have yet.
+    ``given`` adds columns that ``df`` does not have yet. Types may only widen; anything lossy fails.
     """
-    return df.select(
-        *[
-            given.get(field.name, F.col(field.name)).cast(field.dataType).alias(field.name)
-            for field in schema.fields
-        ]
-    )
+    return df.withColumns(given).to(schema)
