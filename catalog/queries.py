@@ -130,12 +130,12 @@ def trade_interval_gaps(spark, sf):
 
 
 @checked(_INTERVAL.format(gaps=_KLINE_GAPS))
-def source_interval(spark, sf):
+def inferred_interval(spark, sf):
     return op.source_interval(op.dedup(I.klines(spark, sf)))
 
 
 @checked(_INTERVAL.format(gaps=_TRADE_GAPS))
-def trade_source_interval(spark, sf):
+def trade_inferred_interval(spark, sf):
     return op.source_interval(op.dedup(I.trades(spark, sf)))
 
 
@@ -299,6 +299,12 @@ def selected_bars(spark, sf):
     return op.in_time_order(_plain(bars.withColumn("time", fn.readable_time("timestamp"))))
 
 
+@checked(f"SELECT {_BAR} FROM ({I.GOLD}) WHERE date BETWEEN '2024-01-18' AND '2024-01-24'")
+def last_7_days(spark, sf):
+    first, last = fn.date_range("last 7 days", "2024-01-25")
+    return _plain(I.gold(spark, sf).filter(F.col("date").between(F.lit(first), F.lit(last))))
+
+
 @checked(f"SELECT min(close) AS min_close, max(close) AS max_close FROM ({I.GOLD})")
 def close_bounds(spark, sf):
     return op.close_bounds(I.gold(spark, sf))

@@ -29,7 +29,7 @@ def test_gaps_equal_one_window_per_symbol(spark, n, spread, spans):
     for (s, t), (s0, t0) in zip(rows[1:], rows):
         if s == s0:
             want.append((s, t, t - t0))
-    got = interval_gaps(_frame(spark, rows), spans).collect()
+    got = interval_gaps(_frame(spark, rows), spans=spans).collect()
     assert sorted(tuple(r) for r in got) == sorted(want)
 
 
@@ -50,6 +50,8 @@ def test_interval_falls_back_without_gaps(spark):
     lonely = _frame(spark, [("A", 1), ("B", 2), ("C", None), ("C", None)])
     assert infer_interval(lonely) == 300
     assert infer_interval(lonely, 60) == 60
+    bars = _frame(spark, [("A", 0), ("A", 90_000_000)]).withColumnRenamed("open_time", "timestamp")
+    assert infer_interval(bars, time="timestamp") == 90
     assert source_interval(lonely).count() == 0
 
 

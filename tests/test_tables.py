@@ -77,8 +77,9 @@ def test_upsert_rejects_bad_source_keys(spark, tmp_path, rows, message):
     assert not table_exists(spark, str(tmp_path / "t"))
 
 
-def test_many_touched_partitions_are_pruned_by_range(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LITERALS", 2)
+@pytest.mark.parametrize("limit", ["MAX_LITERALS", "MAX_PARTITIONS"])
+def test_many_touched_partitions_are_pruned_by_range(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(tables, limit, 2)
     path = str(tmp_path / "t")
     old = [(s, d * DAY_US, 1.0) for s in "ABCDE" for d in range(5)]
     new = [(s, d * DAY_US + 1, 2.0) for s in "ACE" for d in (0, 2, 4)]

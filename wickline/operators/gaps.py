@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickline.functions import HOUR_US, SECOND_US, bucket_start
@@ -14,14 +14,14 @@ FALLBACK_SECONDS = 300  # fixed value: the window used when no gap exists
 _BLOCK_BITS = 22  # a gap of epoch microseconds has at most 44 bits of seconds
 
 
-def _gaps_within(runs: DataFrame, *groups: str) -> DataFrame:
-    before = F.lag("last").over(Window.partitionBy(*groups).orderBy("first"))
-    return runs.select(
-        "symbol", F.col("first").alias("open_time"), (F.col("first") - before).alias("interval_us")
-    )
+def _gaps_within(runs: DataFrame, groups: str) -> DataFrame:
+    before = f"lag(last) OVER (PARTITION BY {groups} ORDER BY first)"
+    return runs.selectExpr("symbol", "first AS open_time", f"first - {before} AS interval_us")
 
 
-def interval_gaps(df: DataFrame, spans: tuple[int, ...] = (HOUR_US,)) -> DataFrame:
+def interval_gaps(
+    df: DataFrame, time: str = "open_time", spans: tuple[int, ...] = (HOUR_US,)
+) -> DataFrame:
     """Positive gaps to the previous candle of the same symbol, as ``symbol, open_time, interval_us``.
 
     Expects at most one row per ``(symbol, open_time)``. One window per symbol would put a symbol's
@@ -31,22 +31,20 @@ def interval_gaps(df: DataFrame, spans: tuple[int, ...] = (HOUR_US,)) -> DataFra
     whole seconds apart, so an hour holds at most 3,600 rows and a symbol 8,784 runs a year; for finer
     data, pass a shorter span first. Each level shuffles once (the runs reuse the slot partitioning).
     """
-    time = F.col("open_time")
-    runs = df.filter(time.isNotNull()).select("symbol", time.alias("first"), time.alias("last"))
+    runs = df.filter(F.col(time).isNotNull()).selectExpr(
+        "symbol", f"`{time}` AS first", f"`{time}` AS last"
+    )
     found = []
     for span in spans:
         slots = runs.withColumn("slot", bucket_start("first", span)).repartition("slot", "symbol")
-        found.append(_gaps_within(slots, "slot", "symbol"))
-        runs = (
-            slots.groupBy("slot", "symbol")
-            .agg(F.min("first").alias("first"), F.max("last").alias("last"))
-            .drop("slot")
-        )
+        found.append(_gaps_within(slots, "slot, symbol"))
+        ends = F.min("first").alias("first"), F.max("last").alias("last")
+        runs = slots.groupBy("slot", "symbol").agg(*ends).drop("slot")
     found.append(_gaps_within(runs, "symbol"))
     return reduce(DataFrame.unionByName, found).filter("interval_us > 0")
 
 
-def source_interval(df: DataFrame) -> DataFrame:
+def source_interval(df: DataFrame, time: str = "open_time") -> DataFrame:
     """The source interval in whole seconds as one row ``interval_seconds`` (none if there is no gap).
 
     It is the exact discrete median of all gaps over all symbols, rounded half-even, at least 1.
@@ -54,36 +52,37 @@ def source_interval(df: DataFrame) -> DataFrame:
     before the shuffle. The median is then located in two steps, first its block of 2^22 seconds, then
     the second inside that block, so that neither running count exceeds 2^22 rows whatever the gaps.
     """
-    seconds = F.greatest(F.bround(F.col("interval_us") / SECOND_US, 0).cast("bigint"), F.lit(1))
-    counts = interval_gaps(df).groupBy(seconds.alias("seconds")).agg(F.count("*").alias("n"))
-
-    chosen = None
-    for shift in (_BLOCK_BITS, 0):
-        prefix = F.shiftright("seconds", shift).alias("prefix")
-        if chosen is None:
-            inside = counts.select(prefix, "n", F.lit(None).cast("bigint").alias("rank"))
-        else:
-            parent = F.shiftright("seconds", _BLOCK_BITS) == F.col("parent")
-            one_row = chosen.select(F.col("prefix").alias("parent"), "rank")
-            inside = counts.join(F.broadcast(one_row), parent).select(prefix, "n", "rank")
-        upto = Window.orderBy("prefix")  # at most 2^22 rows, usually a handful
-        steps = (
-            inside.groupBy("prefix")
-            .agg(F.sum("n").alias("n"), F.max("rank").alias("rank"))
-            .withColumn("total", F.sum("n").over(Window.partitionBy()))
-            .withColumn("rank", F.expr("coalesce(rank, (total + 1) div 2)"))
-            .withColumn("upto", F.sum("n").over(upto))
-        )
-        chosen = (
-            steps.filter("upto >= rank")
-            .orderBy("prefix")
-            .limit(1)
-            .selectExpr("prefix", "rank - (upto - n) AS rank")
+    rounded = F.greatest(F.bround(F.col("interval_us") / SECOND_US, 0).cast("bigint"), F.lit(1))
+    counts = interval_gaps(df, time).groupBy(rounded.alias("seconds")).agg(F.count("*").alias("n"))
+    block_of = f"shiftright(seconds, {_BLOCK_BITS})"
+
+    block = (
+        counts.groupBy(F.expr(block_of).alias("block"))
+        .agg(F.sum("n").alias("n"))
+        .selectExpr(
+            "block", "n", "sum(n) OVER (ORDER BY block) AS upto", "(sum(n) OVER () + 1) div 2 AS place"
         )
-    return chosen.select(F.col("prefix").alias("interval_seconds"))
+        .filter("upto >= place")
+        .orderBy("block")
+        .limit(1)
+        .selectExpr("block", "place - (upto - n) AS place")
+    )
+    return (
+        counts.join(F.broadcast(block), F.expr(f"{block_of} = block"))
+        .selectExpr("seconds", "place", "sum(n) OVER (ORDER BY seconds) AS upto")
+        .filter("upto >= place")
+        .orderBy("seconds")
+        .limit(1)
+        .selectExpr("seconds AS interval_seconds")
+    )
 
 
-def infer_interval(df: DataFrame, fallback: int = FALLBACK_SECONDS) -> int:
-    """The source interval as a number; ``fallback`` when no two candles follow each other."""
-    row = source_interval(df).first()
+def infer_interval(
+    df: DataFrame, fallback: int = FALLBACK_SECONDS, time: str = "open_time"
+) -> int:
+    """The source interval as a number; ``fallback`` when no two candles follow each other.
+
+    Gold bars have their time in another column: ``infer_interval(gold, time="timestamp")``.
+    """
+    row = source_interval(df, time).first()
     return fallback if row is None else row.interval_seconds

@@ -18,6 +18,7 @@ from wickline.session import staged
 from wickline.sources.tables import read_table, table_exists
 
 MAX_LITERALS = 1000
+MAX_PARTITIONS = 50_000
 
 
 def append(df: DataFrame, path: str, partitions: list[str]) -> None:
@@ -25,15 +26,23 @@ def append(df: DataFrame, path: str, partitions: list[str]) -> None:
     df.write.partitionBy(*partitions).mode("append").parquet(path)
 
 
-def _value_filter(keys: DataFrame, column: str) -> Column | None:
-    """A literal filter covering the values of ``column`` in ``keys``: a list if short, else a range."""
-    values = [r[0] for r in keys.select(column).distinct().limit(MAX_LITERALS + 1).collect()]
-    if not values:
-        return None
-    if len(values) <= MAX_LITERALS:
-        return F.col(column).isin(values)
-    low, high = keys.agg(F.min(column), F.max(column)).first()
-    return F.col(column).between(F.lit(low), F.lit(high))
+def _covering_filters(keys: DataFrame, columns: list[str]) -> list[Column]:
+    """Literal filters that cover the values of ``columns`` in ``keys``: a list if short, else a range.
+
+    Only a bounded number of distinct values comes to the driver; beyond it, only the two ends do.
+    """
+    found = keys.select(*columns).distinct().limit(MAX_PARTITIONS + 1).collect()
+    if len(found) > MAX_PARTITIONS:
+        ends = keys.agg(*[F.struct(F.min(c), F.max(c)) for c in columns]).first()
+        return [F.col(c).between(F.lit(low), F.lit(high)) for c, (low, high) in zip(columns, ends)]
+    filters = []
+    for i, c in enumerate(columns):
+        values = sorted({row[i] for row in found} - {None})
+        short = len(values) <= MAX_LITERALS
+        filters.append(
+            F.col(c).isin(values) if short else F.col(c).between(F.lit(values[0]), F.lit(values[-1]))
+        )
+    return filters
 
 
 def restrict(target: DataFrame, keys: DataFrame, on: list[str], prune: list[str]) -> DataFrame:
@@ -42,8 +51,7 @@ def restrict(target: DataFrame, keys: DataFrame, on: list[str], prune: list[str]
     Literal filters on the ``prune`` columns let the scan skip partition folders before the exact
     semi-join; the number of literals is bounded, a longer list becomes a range.
     """
-    filters = [f for f in (_value_filter(keys, c) for c in prune) if f is not None]
-    pruned = reduce(DataFrame.filter, filters, target)
+    pruned = reduce(DataFrame.filter, _covering_filters(keys, prune), target)
     return pruned.join(keys.select(*on).distinct(), on, "left_semi")
 
 

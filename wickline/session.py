@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app: str = "wickline") -> SparkSession
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Small local batches still write their partition folders in parallel.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
