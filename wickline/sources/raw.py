@@ -73,33 +73,33 @@ def read_klines(
     return _in_scope(rows, symbols, resolution).drop("path")
 
 
-def _csv_blocks(archive: bytes) -> Iterator[str]:
-    """Text of all CSV members in blocks of whole lines; nothing at all if the archive is damaged."""
-    try:
-        with zipfile.ZipFile(io.BytesIO(archive)) as members:
-            if members.testzip() is not None:
-                return
-            for name in members.namelist():
-                if name.lower().endswith(".csv"):
-                    with members.open(name) as member:
-                        lines = io.TextIOWrapper(member, "utf-8", errors="replace")
-                        while block := lines.readlines(_BLOCK_CHARS):
-                            yield "".join(block)
-    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
-        return
-
-
 def unpack_archives(archives: DataFrame) -> DataFrame:
     """Candles inside ``archives`` (columns ``path, content, symbol``); damaged archives give no rows.
 
     A ZIP cannot be split, so one archive is one record: a task holds one archive at a time and hands
     its text to the JVM in blocks, where lines are split and parsed. An RDD step, because an Arrow
-    batch would hold thousands of archives.
+    batch would hold thousands of archives. The functions are local, so that workers need no copy of
+    this package.
     """
 
+    def csv_blocks(archive: bytes) -> Iterator[str]:
+        """Text of all CSV members in blocks of whole lines; nothing if the archive is damaged."""
+        try:
+            with zipfile.ZipFile(io.BytesIO(archive)) as members:
+                if members.testzip() is not None:
+                    return
+                for name in members.namelist():
+                    if name.lower().endswith(".csv"):
+                        with members.open(name) as member:
+                            lines = io.TextIOWrapper(member, "utf-8", errors="replace")
+                            while block := lines.readlines(_BLOCK_CHARS):
+                                yield "".join(block)
+        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+            return
+
     def blocks(part):
         for row in part:
-            for block in _csv_blocks(row.content):
+            for block in csv_blocks(row.content):
                 yield row.symbol, block
 
     text = archives.select("symbol", "content").rdd.mapPartitions(blocks)
