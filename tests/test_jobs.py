@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 
@@ -81,6 +82,25 @@ def test_scope_narrows_the_ingest(spark, home):
     assert [r.symbol for r in read_table(spark, home.bronze, BRONZE).collect()] == ["ETHUSDT"]
 
 
+def test_files_outside_a_symbol_folder_are_dropped(spark, home):
+    home.put("BTCUSDT", "2024-01-01", [(DAY0, 1.0)])
+    (home.folder / "raw" / "stray.csv").write_text(f"{DAY0},1,1,1,1,1,1,1,1,1,1,0\n")
+    ingest(spark, home.raw, home.bronze, "2024-01-01")
+    assert [r.symbol for r in read_table(spark, home.bronze, BRONZE).collect()] == ["BTCUSDT"]
+
+
+def test_a_lost_partition_is_rebuilt_from_the_layer_below(spark, home):
+    rows = [(DAY0 + d * DAY_US + i * MINUTE, 1.0 + i) for d in range(2) for i in range(3)]
+    home.put("BTCUSDT", "d", rows)
+    home.run(spark, "2024-01-01")
+    before = home.bars(spark)
+    for layer in (home.silver, home.gold):
+        shutil.rmtree(f"{layer}/symbol=BTCUSDT/date=2024-01-02")
+    refine(spark, home.bronze, home.silver, home.metadata)
+    aggregate(spark, home.silver, home.gold)
+    assert home.bars(spark) == before and len(before) == 6
+
+
 def test_ingest_stamps_today_by_default_and_rejects_bad_dates(spark, home):
     home.put("BTCUSDT", "2024-01-01", [(DAY0, 1.0)])
     ingest(spark, home.raw, home.bronze)

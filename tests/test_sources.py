@@ -126,6 +126,14 @@ def test_symbol_folders_are_decoded(spark, tmp_path):
     assert _times(read_raw(spark, str(tmp_path / "raw"))) == [("BAD SYM+%", 1), ("BAD SYM+%", 2)]
 
 
+def test_key_value_folders_are_read_too(spark, tmp_path):
+    _write(tmp_path, "symbol=A", "resolution=1m", "d", _lines(1))
+    _write(tmp_path, "symbol=B", "resolution=1s", "d", _lines(2))
+    root = str(tmp_path / "raw")
+    assert _times(read_klines(spark, root)) == [("A", 1), ("B", 2)]
+    assert _times(read_klines(spark, root, symbols=["B"], resolution="1s")) == [("B", 2)]
+
+
 def test_archive_listing_does_not_read_contents(spark, raw):
     from wickline.sources.raw import _archives
 

@@ -10,7 +10,6 @@ MAX_PRICE = 1e12  # fixed value
 
 # The declared expectations for silver candles.
 SILVER_SUITE = {
-    "expectation_suite_name": "silver_ohlcv_suite",
     "expectations": [
         {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": c}}
         for c in ("open_time", "symbol")

@@ -1,8 +1,9 @@
 """Writing and maintaining partitioned Parquet tables.
 
-Limits: one writer per table; the swap of rewritten partitions happens at job commit, partition by
-partition, so a driver that dies inside the commit leaves some partitions old and some new. Running
-the same upsert again completes it.
+Limits: one writer per table. Tasks may fail and rerun at will, but the swap of rewritten partitions
+is done by the driver at job commit, partition by partition. A driver that dies inside the commit leaves
+some partitions old, some new, and possibly one missing; rebuild it from the layer below by running
+the job without a batch date (bronze is only ever appended to).
 """
 
 from __future__ import annotations
