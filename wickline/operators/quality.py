@@ -8,25 +8,20 @@ from pyspark.sql import functions as F
 PRICES = ("open", "high", "low", "close")
 MAX_PRICE = 1e12  # fixed value
 
+_NOT_NULL = "expect_column_values_to_not_be_null"
+_BETWEEN = "expect_column_values_to_be_between"
+
 # The declared expectations for silver candles.
 SILVER_SUITE = {
     "expectations": [
-        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": c}}
-        for c in ("open_time", "symbol")
-    ]
-    + [
-        {
-            "expectation_type": "expect_column_values_to_be_between",
-            "kwargs": {"column": c, "min_value": 0, "max_value": MAX_PRICE},
-        }
-        for c in PRICES
+        {"expectation_type": _NOT_NULL, "kwargs": {"column": "open_time"}},
+        {"expectation_type": _NOT_NULL, "kwargs": {"column": "symbol"}},
+        {"expectation_type": _BETWEEN, "kwargs": {"column": "open", "min_value": 0, "max_value": 1e12}},
+        {"expectation_type": _BETWEEN, "kwargs": {"column": "high", "min_value": 0, "max_value": 1e12}},
+        {"expectation_type": _BETWEEN, "kwargs": {"column": "low", "min_value": 0, "max_value": 1e12}},
+        {"expectation_type": _BETWEEN, "kwargs": {"column": "close", "min_value": 0, "max_value": 1e12}},
+        {"expectation_type": _BETWEEN, "kwargs": {"column": "volume", "min_value": 0, "max_value": 1e20}},
     ]
-    + [
-        {
-            "expectation_type": "expect_column_values_to_be_between",
-            "kwargs": {"column": "volume", "min_value": 0, "max_value": 1e20},
-        }
-    ],
 }
 
 
@@ -64,9 +59,9 @@ def validate(df: DataFrame) -> bool:
 
 def _violates(kind: str, kwargs: dict) -> Column:
     c = F.col(kwargs["column"])
-    if kind == "expect_column_values_to_not_be_null":
+    if kind == _NOT_NULL:
         return c.isNull()
-    if kind == "expect_column_values_to_be_between":
+    if kind == _BETWEEN:
         low, high = kwargs.get("min_value"), kwargs.get("max_value")
         outside = F.lit(False)
         if low is not None:
