@@ -91,6 +91,7 @@ def write_raw_tree(df: DataFrame, root: str, resolution: str = "1m") -> str:
         df.withColumn("resolution", F.lit(resolution))
         .select(*RAW.names, "symbol", "resolution")
         .write.partitionBy("symbol", "resolution")
+        .mode("append")
         .csv(folder)
     )
     return folder

@@ -639,6 +639,15 @@ def csv_scan(spark, sf):
     return _plain(to_bronze(sources.read_klines(spark, raw), "2024-02-01"))
 
 
+@checked(f"SELECT * REPLACE (volume + 1 AS volume) FROM ({_RAW_ROWS})")
+def csv_scope(spark, sf):
+    home = scratch_path(spark, "scope")
+    rows = I.klines(spark, sf)
+    I.write_raw_tree(rows, home, "1m")
+    raw = I.write_raw_tree(rows.withColumn("volume", F.col("volume") + 1), home, "5m")
+    return _plain(to_bronze(sources.read_klines(spark, raw, resolution="5m"), "2024-02-01"))
+
+
 @checked(_RAW_ROWS)
 def archive_scan(spark, sf):
     rows = sources.unpack_archives(I.zipped(I.klines(spark, sf)))
