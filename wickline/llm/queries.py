@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm import decontamination, mixing, quality, secret_scan, simhash, toxicity
+from wickline.llm import bloom_lm, decontamination, mixing, quality, secret_scan, simhash, toxicity, warc
 from wickline.llm.common import Query, held_out, read_table
+from wickline.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +35,16 @@ def op1_toxicity(spark, sf_dir) -> DataFrame:
     )
 
 
+@_query
+def op2_bloom_lm(spark, sf_dir) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = held_out(F.col("doc_id"), 7, 2)
+    scored = bloom_lm.scores(docs, ~held)
+    return scored.select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @_query
 def op3_decontamination(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +86,14 @@ def op6_simhash(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op7_warc(spark, sf_dir) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    found = warc.read_archives(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query
 def op8_mixing(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
