@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm import bloom_lm, decontamination, mixing, quality, secret_scan, simhash, toxicity, warc
+from wickline.llm import bloom_lm, decontamination, mixing, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
 from wickline.llm.common import Query, held_out, read_table
 from wickline.session import scratch_path
 
@@ -101,6 +101,18 @@ def op8_mixing(spark, sf_dir) -> DataFrame:
     return mixed.select("doc_id", *[f"{name}.{c}" for c in ("size", "source_size", "target", "taken")])
 
 
+@_query
+def op9_suffix_dedup(spark, sf_dir) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        (F.size("removed") / 2).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
 
