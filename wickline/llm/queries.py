@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.llm import bloom_lm, decontamination, mixing, quality, secret_scan, simhash, suffix_dedup, toxicity, warc
+from wickline.llm import (
+    bloom_lm,
+    compact_windows,
+    decontamination,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from wickline.llm.common import Query, held_out, read_table
 from wickline.session import scratch_path
 
@@ -113,6 +124,23 @@ def op9_suffix_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
+@_query
+def op10_compact_windows(spark, sf_dir) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = compact_windows.near_duplicate_passages(docs)
+    lengths = F.transform(F.col("passages"), lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda total, x: total + x).alias("n_dup_words"),
+        (F.size("passages") / 2).cast("bigint").alias("n_passages"),
+        F.size("others").cast("bigint").alias("n_links"),
+        "class_id",
+        "others",
+        "passages",
+    )
+
+
 def _pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
 
