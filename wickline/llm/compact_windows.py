@@ -17,12 +17,13 @@ from wickline.llm.suffix_dedup import Hashes
 
 #: Words of a shingle, shingles of a passage (50 words), similarity from which passages are near-duplicates.
 SHINGLE, PASSAGE, SIMILARITY = 5, 46, 0.8
-#: Hash functions, and how many of them must agree on a passage before it is verified.
-HASHES, AGREEING = 4, 2
+#: Hash functions whose windows are joined; hash functions of a passage's signature, and how many of
+#: those must agree before the passage is verified.
+HASHES, SIGNATURE, AGREEING = 3, 8, 4
 CHUNK_BYTES, PART_KEYS = 4 << 20, 1_500_000
 #: Rows of a key that are all compared with each other; above it see ``_pairs``.
 ALL_PAIRS = 12
-_BUFFER = 1 << 17
+_BUFFER = 1 << 16
 _POSITION = np.uint64((1 << 20) - 1)
 _REACH = PASSAGE - 1
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -38,6 +39,9 @@ class _WordHashes(dict):
         return value
 
 
+_KNOWN = _WordHashes()
+
+
 def shingles(text: bytes, known: _WordHashes) -> np.ndarray:
     """64-bit hashes of all runs of five words (ASCII white space, A-Z in lower case)."""
     words = text.lower().split()
@@ -56,15 +60,13 @@ def compact_windows(values: np.ndarray, lows: np.ndarray, highs: np.ndarray) ->
     contains ``c`` has its minimum there. Ranges below PASSAGE are not followed. The trees of all ranges
     are walked level by level; minima come from a table of powers of two.
     """
-    n = len(values)
-    keyed = (values & ~_POSITION) | np.arange(n, dtype=np.uint64)
-    table, width = [keyed], 1
-    while 2 * width <= n:
-        last = table[-1].copy()
-        last[: n - width] = np.minimum(table[-1][: n - width], table[-1][width:])
-        table.append(last)
-        width *= 2
-    table = np.stack(table)
+    n, longest = len(values), int((highs - lows + 1).max(initial=1))
+    table = np.empty((longest.bit_length(), n), dtype=np.uint64)
+    table[0] = (values & ~_POSITION) | np.arange(n, dtype=np.uint64)
+    for level in range(1, len(table)):
+        half = 1 << (level - 1)
+        table[level] = table[level - 1]
+        np.minimum(table[level - 1, : n - half], table[level - 1, half:], out=table[level, : n - half])
     found: list[tuple[np.ndarray, ...]] = []
     while len(lows):
         good = highs - lows + 1 >= PASSAGE
@@ -85,8 +87,7 @@ def find_windows(texts: list[bytes], rank: np.ndarray) -> Found:
     The context is the window's part within reach of a passage around the centre: ``lo`` to ``hi``. Besides,
     ``doc``, the centre ``at`` and each document's shingles are kept.
     """
-    known = _WordHashes()
-    own = [shingles(t, known) for t in texts]
+    own = [shingles(t, _KNOWN) for t in texts]
     parts: list[tuple[np.ndarray, ...]] = []
     held: list[tuple[int, int, np.ndarray]] = []
 
@@ -95,12 +96,11 @@ def find_windows(texts: list[bytes], rank: np.ndarray) -> Found:
         data = np.concatenate([s for _, _, s in held])
         begin = np.cumsum(sizes) - sizes
         docs, offsets = (np.array([h[i] for h in held], dtype=np.int64) for i in (0, 1))
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * Hashes._tables(len(data) + 1)[0][: len(data)], dtype=np.uint64)])
-        inverse = Hashes._tables(len(data) + 1)[1]
+        hashes = Hashes(data)
         for j in range(HASHES):
             low, c, high = compact_windows(mixed(data, 1000 + j), begin, begin + sizes - 1)
             lo, hi = np.maximum(low, c - _REACH), np.minimum(high, c + _REACH)
-            content = (prefix[hi + 1] - prefix[lo]) * inverse[lo]
+            content = hashes.of(lo, hi - lo + 1)
             shape = (((c - lo) << 8) | (hi - lo)).astype(np.uint64)
             piece = np.searchsorted(begin, c, side="right") - 1
             shift = offsets[piece] - begin[piece]
@@ -146,8 +146,18 @@ def _around(content: list[bytes], at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Upper bound on the shingles that two rows have in common: equal neighbours once both are sorted."""
+    out = np.empty(len(a), dtype=np.int64)
+    for at in range(0, len(a), 1024):
+        both = np.concatenate([a[at : at + 1024], b[at : at + 1024]], axis=1)
+        both.sort(axis=1)
+        out[at : at + 1024] = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != 0)).sum(axis=1)
+    return out
+
+
 def _signature(rows: np.ndarray) -> np.ndarray:
-    return np.stack([mixed(rows.astype(np.uint64), 2000 + j).min(axis=1) for j in range(HASHES)], axis=1)
+    return np.stack([mixed(rows.astype(np.uint64), 2000 + j).min(axis=1) for j in range(SIGNATURE)], axis=1)
 
 
 def verify(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -156,30 +166,63 @@ def verify(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     Of all passages of PASSAGE shingles around the shared centre the one with most common shingles is
     taken. Enough hash functions must agree on it; then its exact Jaccard similarity decides.
     """
-    out = np.full(len(a), -1, dtype=np.int64)
     needed = int(np.ceil(2 * PASSAGE * SIMILARITY / (1 + SIMILARITY)))
-    for at in range(0, len(a), 256):
-        x, y = a[at : at + 256], b[at : at + 256]
-        same = (x[:, :, None] == y[:, None, :]) & (x[:, :, None] != 0)
-        total = np.zeros((len(x), x.shape[1] + 1, x.shape[1] + 1), dtype=np.int32)
-        total[:, 1:, 1:] = same.cumsum(axis=1, dtype=np.int32).cumsum(axis=2, dtype=np.int32)
-        first = np.arange(_REACH + 1)
-        last = first + PASSAGE
-        common = total[:, last, last] - total[:, first, last] - total[:, last, first] + total[:, first, first]
-        full = np.stack([(x[:, s : s + PASSAGE] != 0).all(axis=1) & (y[:, s : s + PASSAGE] != 0).all(axis=1) for s in first], axis=1)
-        common = np.where(full, common, -1)
-        best = common.argmax(axis=1)
-        rows = np.flatnonzero(common[np.arange(len(x)), best] >= needed)
-        if not len(rows):
-            continue
-        window = best[rows][:, None] + np.arange(PASSAGE)
-        p, q = x[rows[:, None], window], y[rows[:, None], window]
-        enough = (_signature(p) == _signature(q)).sum(axis=1) >= AGREEING
-        for i in np.flatnonzero(enough):
-            left, right = set(p[i].tolist()), set(q[i].tolist())
-            if len(left & right) >= SIMILARITY * len(left | right):
-                out[at + rows[i]] = best[rows[i]]
-    return out
+    some = np.flatnonzero(_common(a, b) >= needed)
+    best = np.full(len(a), -1, dtype=np.int64)
+    best[some] = _best_aligned(a[some], b[some], needed)
+    shifted = some[best[some] < 0]
+    for at in range(0, len(shifted), 256):
+        block = shifted[at : at + 256]
+        best[block] = _best_shifted(a[block], b[block], needed)
+    rows = np.flatnonzero(best >= 0)
+    window = best[rows][:, None] + np.arange(PASSAGE)
+    p, q = a[rows[:, None], window], b[rows[:, None], window]
+    good = (_signature(p) == _signature(q)).sum(axis=1) >= AGREEING
+    good &= _similar(p, q)
+    best[rows[~good]] = -1
+    return best
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    """For each first column whether a passage that starts there has all its shingles."""
+    missing = np.zeros((len(x), x.shape[1] + 1), dtype=np.int16)
+    np.cumsum(x == 0, axis=1, dtype=np.int16, out=missing[:, 1:])
+    return missing[:, PASSAGE : PASSAGE + _REACH + 1] == missing[:, : _REACH + 1]
+
+
+def _choose(common: np.ndarray, x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
+    common = np.where(_whole(x) & _whole(y), common, -1)
+    best = common.argmax(axis=1)
+    return np.where(common[np.arange(len(x)), best] >= needed, best, -1)
+
+
+def _best_aligned(x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
+    """First column of the passage with most shingles equal in place."""
+    total = np.zeros((len(x), x.shape[1] + 1), dtype=np.int16)
+    np.cumsum((x == y) & (x != 0), axis=1, dtype=np.int16, out=total[:, 1:])
+    return _choose(total[:, PASSAGE : PASSAGE + _REACH + 1] - total[:, : _REACH + 1], x, y, needed)
+
+
+def _best_shifted(x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
+    """The same where words were inserted or left out: shingles common to both passages in any place."""
+    first = np.arange(_REACH + 1)
+    last = first + PASSAGE
+    same = (x[:, :, None] == y[:, None, :]) & (x[:, :, None] != 0)
+    total = np.zeros((len(x), x.shape[1] + 1, x.shape[1] + 1), dtype=np.int16)
+    np.cumsum(same.cumsum(axis=1, dtype=np.uint8), axis=2, dtype=np.int16, out=total[:, 1:, 1:])
+    common = total[:, last, last] - total[:, first, last] - total[:, last, first] + total[:, first, first]
+    return _choose(common, x, y, needed)
+
+
+def _similar(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether the exact Jaccard similarity of each pair of rows is SIMILARITY or more."""
+    common = _common(p, q)
+    good = common >= SIMILARITY * (2 * PASSAGE - common)
+    repeats = [(np.diff(np.sort(x, axis=1), axis=1) == 0).any(axis=1) for x in (p, q)]
+    for i in np.flatnonzero(repeats[0] | repeats[1]):
+        left, right = set(p[i].tolist()), set(q[i].tolist())
+        good[i] = len(left & right) >= SIMILARITY * len(left | right)
+    return good
 
 
 def _pairs(rank: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:

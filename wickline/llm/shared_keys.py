@@ -40,10 +40,11 @@ class Found:
 
     def __post_init__(self):
         self.key, self.context = self.key & _48, self.context & _48
-        order = np.lexsort((np.arange(len(self.key)), self.rank, self.context, self.key))
-        k, c = self.key[order], self.context[order]
+        pair = mixed(self.key, 41) + self.context
+        order = np.lexsort((self.rank, pair))  # stable: of equal ranks the first occurrence leads
+        pair = pair[order]
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
+        new[1:] = pair[1:] != pair[:-1]
         first = order[np.flatnonzero(new)]
         self.leader = np.empty(len(order), dtype=np.int64)
         if len(order):

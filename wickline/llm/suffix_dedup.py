@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickline.llm.packing import mixed
-from wickline.llm.shared_keys import HOT, OPEN, TWIN, Found, chunked, judge, texts_of
+from wickline.llm.shared_keys import HOT, OPEN, TWIN, Found, Texts, chunked, judge, texts_of
 
 #: Length of a removed string, and of the anchor that it is found by.
 LENGTH, ANCHOR = 50, 20
 #: Bytes of a chunk and keys of a part.
 CHUNK_BYTES, PART_KEYS = 4 << 20, 1_500_000
-_BUFFER = 1 << 19
+_BUFFER = 1 << 16
 _BASE = 0x5851F42D4C957F2D
 _POSITION = np.uint64((1 << 20) - 1)
 
@@ -25,12 +25,14 @@ class Hashes:
     """Prefix polynomial hashes of a buffer: the hash of any substring in constant time, mod 2 ** 64."""
 
     _powers: dict[str, np.ndarray] = {}
+    _codes = mixed(np.arange(256, dtype=np.uint64), 3)
 
     def __init__(self, data: np.ndarray):
         n = len(data)
         power, inverse = self._tables(n + 1)
-        codes = mixed(np.arange(256, dtype=np.uint64), 3)[data]
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * power[:n], dtype=np.uint64)])
+        codes = data if data.dtype == np.uint64 else self._codes[data]
+        self.prefix = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(codes * power[:n], out=self.prefix[1:])
         self.inverse = inverse
 
     @classmethod
@@ -46,6 +48,11 @@ class Hashes:
     def of(self, start: np.ndarray, length) -> np.ndarray:
         return (self.prefix[start + length] - self.prefix[start]) * self.inverse[start]
 
+    def each(self, length: int) -> np.ndarray:
+        """Hashes of all substrings of ``length``."""
+        n = len(self.prefix) - length
+        return (self.prefix[length:] - self.prefix[:n]) * self.inverse[:n]
+
     def extension(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
         """Length of the common extension of the suffixes at ``a`` and ``b``, by binary search."""
         low, high = np.zeros(len(a), np.int64), np.full(len(a), most, np.int64)
@@ -76,7 +83,7 @@ def _buffers(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
             piece = text[at : at + _BUFFER + LENGTH - 1]
             if len(piece) < LENGTH:
                 continue
-            if size + len(piece) > (1 << 20) - 1:
+            if held and size + len(piece) > 2 * _BUFFER:
                 yield out()
                 held, docs, offsets, size = [], [], [], 0
             held.append(piece)
@@ -97,8 +104,8 @@ def find_anchors(texts: list[bytes], rank: np.ndarray) -> Found:
     parts = []
     for data, starts, docs, offsets in _buffers(texts):
         hashes, n = Hashes(data), len(data)
-        at = np.arange(n - ANCHOR + 1)
-        best = (mixed(hashes.of(at, ANCHOR), 5) & ~_POSITION) | at.astype(np.uint64)
+        grams = hashes.each(ANCHOR)
+        best = (mixed(grams, 5) & ~_POSITION) | np.arange(n - ANCHOR + 1, dtype=np.uint64)
         width, wanted = 1, LENGTH - ANCHOR + 1
         while 2 * width <= wanted:
             best = np.minimum(best[:-width], best[width:])
@@ -119,7 +126,7 @@ def find_anchors(texts: list[bytes], rank: np.ndarray) -> Found:
         shape = (((at - lo) << 8) | count).astype(np.uint64)
         parts.append(
             (
-                mixed(hashes.of(at, ANCHOR), 11),
+                mixed(grams[at], 11),
                 mixed(mixed(hashes.of(lo, count - 1 + LENGTH), 13) + mixed(shape, 17), 19),
                 docs[seg],
                 lo - starts[seg] + offsets[seg],
@@ -147,33 +154,34 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, group: np.ndarray, lengt
     base, size = np.repeat(head, sizes), np.repeat(sizes, sizes)
     order, local, width = np.arange(n), np.arange(n) - base, 1
     padded = np.append(data, np.uint8(0))
-    while n and width < sizes.max():
-        mine = starts[order]
-        run = local // width
+    while True:
+        # Groups that are one run already rest.
+        live = np.flatnonzero(size > width)
+        if not len(live):
+            return order
+        mine, run = starts[order[live]], local[live] // width
         right = run & 1 == 1
-        low = np.minimum((run ^ 1) * width, size)
-        high = np.minimum(low + width, size)
+        low = np.minimum((run ^ 1) * width, size[live])
+        high = np.minimum(low + width, size[live])
         origin = low.copy()
         while True:
             some = np.flatnonzero(low < high)
             if not len(some):
                 break
             middle = (low[some] + high[some]) >> 1
-            a, b = mine[some], starts[order[base[some] + middle]]
+            a, b = mine[some], starts[order[base[live[some]] + middle]]
             common = hashes.extension(a, b, length)
-            inside = common < length
             x = padded[np.minimum(a + common, len(data))]
             y = padded[np.minimum(b + common, len(data))]
             # Of equal suffixes those of the left run come first.
-            after = np.where(inside, y < x, right[some])
+            after = np.where(common < length, y < x, right[some])
             low[some] = np.where(after, middle + 1, low[some])
             high[some] = np.where(after, high[some], middle)
-        place = np.minimum(run & ~1, run) * width + (local - run * width) + (low - origin)
-        moved = np.empty(n, dtype=np.int64)
-        moved[base + place] = order
+        place = (run & ~1) * width + (local[live] - run * width) + (low - origin)
+        moved = order.copy()
+        moved[base[live] + place] = order[live]
         order = moved
         width *= 2
-    return order
 
 
 def repeated_strings(spans: list[bytes], at: np.ndarray, key: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -219,19 +227,35 @@ def repeated_strings(spans: list[bytes], at: np.ndarray, key: np.ndarray, rank:
 
 
 _OPEN = "key BIGINT, rank BIGINT, span BINARY, at BIGINT, chunk BIGINT, ref BIGINT, hot BOOLEAN"
+_MASKS = "chunk BIGINT, ref BIGINT, mask BIGINT"
 
 
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Masks of runs of equal keys; rows arrive sorted by key, a run may cross batches."""
+    """Masks of runs of equal keys; rows arrive sorted by key, span and rank, and a run may cross batches.
+
+    Rows of hot keys are single strings with a key of their own and the smallest rank first, so they
+    are compared with their run's first row as they pass and never held.
+    """
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         spans = [bytes(s) for s in rows["span"]]
         mask = repeated_strings(spans, *(rows[c].to_numpy() for c in ("at", "key", "rank")))
         return pd.DataFrame({"chunk": rows["chunk"], "ref": rows["ref"], "mask": mask})[mask != 0]
 
-    rest = None
+    rest, first = None, (None, None)
     for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        hot, out = batch[batch["hot"]], []
+        for row in hot.itertuples(index=False):
+            if row.span != first[0]:
+                first = (row.span, row.rank)
+            elif row.rank > first[1]:
+                out.append((row.chunk, row.ref, 1 << row.at))
+        if out:
+            yield pd.DataFrame(out, columns=["chunk", "ref", "mask"])
+        cool = batch[~batch["hot"]]
+        rows = cool if rest is None else pd.concat([rest, cool], ignore_index=True)
+        if not len(rows):
+            continue
         last = rows["key"].to_numpy() == rows["key"].iloc[-1]
         rest = rows[last]
         if not last.all():
@@ -240,23 +264,37 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield solve(rest)
 
 
+def _hot_strings(texts: Texts, found: Found, verdict: np.ndarray) -> tuple[list[tuple], list[tuple[int, int]]]:
+    """Strings of hot keys: those with the smallest rank in the chunk, and (occurrence, bit) of the others."""
+    m, rows, least = found.more, [], {}
+    own = np.arange(len(verdict)) == found.leader
+    for x in np.flatnonzero(own & (verdict == HOT)):
+        text, lo, rank = texts.data[m["doc"][x]], int(m["lo"][x]), int(found.rank[x])
+        for bit in range(int(m["n"][x])):
+            string = text[lo + bit : lo + bit + LENGTH]
+            rows.append((string, rank, bit, int(x)))
+            least[string] = min(rank, least.get(string, rank))
+    return [r for r in rows if r[1] == least[r[0]]], [(x, bit) for s, r, bit, x in rows if r > least[s]]
+
+
 def _open_rows(parts: int):
-    """Spans whose key has other contexts; strings one by one where the key is hot."""
+    """Spans whose key has other contexts; of a hot key the strings one by one, by a key of their own."""
 
     def rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        import xxhash
+
         texts = texts_of(left)
         found = find_anchors(texts.data, texts.rank)
         verdict, _ = found.verdicts(right, parts)
-        m, out = found.more, []
-        chunk = int(left["chunk"].iloc[0]) if len(left) else 0
+        m, chunk = found.more, int(left["chunk"].iloc[0])
         own = np.arange(len(verdict)) == found.leader
-        for x in np.flatnonzero(own & (verdict >= OPEN)):
-            text, lo, n = texts.data[m["doc"][x]], int(m["lo"][x]), int(m["n"][x])
-            head = (int(found.key[x]), int(found.rank[x]))
-            if verdict[x] == HOT:
-                out += [(*head, text[s : s + LENGTH], s - lo, chunk, int(x), True) for s in range(lo, lo + n)]
-            else:
-                out.append((*head, text[lo : lo + n - 1 + LENGTH], int(m["at"][x]) - lo, chunk, int(x), False))
+        out = []
+        for x in np.flatnonzero(own & (verdict == OPEN)):
+            lo, n = int(m["lo"][x]), int(m["n"][x])
+            span = texts.data[m["doc"][x]][lo : lo + n - 1 + LENGTH]
+            out.append((int(found.key[x]), int(found.rank[x]), span, int(m["at"][x]) - lo, chunk, int(x), False))
+        for string, rank, bit, x in _hot_strings(texts, found, verdict)[0]:
+            out.append((-1 - (xxhash.xxh64_intdigest(string) >> 1), rank, string, bit, chunk, x, True))
         return pd.DataFrame(out, columns=["key", "rank", "span", "at", "chunk", "ref", "hot"])
 
     return rows
@@ -272,6 +310,8 @@ def _cut(parts: int):
         masks = right[right["verdict"].isna()]
         mask = np.zeros(len(verdict), dtype=np.int64)
         np.bitwise_or.at(mask, masks["part"].to_numpy(np.int64), masks["mask"].to_numpy(np.int64))
+        for x, bit in _hot_strings(texts, found, verdict)[1]:
+            mask[x] |= 1 << bit
         mask = mask[found.leader]
         lengths = np.array([len(t) for t in texts.data], dtype=np.int64)
         begin = np.cumsum(lengths) - lengths
@@ -322,15 +362,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     parts = max(1, -(-total // (16 * PART_KEYS)))
     verdicts = judge(chunks, find_anchors, parts)
     opened = chunks.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInPandas(_open_rows(parts), _OPEN)
-    cool = opened.filter("NOT hot").repartition("key").sortWithinPartitions("key")
-    masks = cool.mapInPandas(_solve, "chunk BIGINT, ref BIGINT, mask BIGINT")
-    hot = opened.filter("hot")
-    least = hot.groupBy("span").agg(F.min("rank").alias("least"))
-    bad = hot.join(least, "span").filter("rank > least")
-    bits = bad.groupBy("chunk", "ref").agg(F.bit_or(F.expr("shiftleft(1L, cast(at AS int))")).alias("mask"))
+    dealt = opened.repartition("key").sortWithinPartitions("key", "span", "rank")
+    masks = dealt.mapInPandas(_solve, _MASKS)
     nothing = F.lit(None).cast("binary")
     back = verdicts.select("chunk", "part", "verdict", "twin", F.lit(0).cast("bigint").alias("mask")).unionByName(
-        masks.unionByName(bits).select(
+        masks.select(
             "chunk", F.col("ref").alias("part"), nothing.alias("verdict"), nothing.alias("twin"), "mask"
         )
     )
