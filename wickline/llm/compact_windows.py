@@ -23,34 +23,49 @@ HASHES, SIGNATURE, AGREEING = 3, 8, 4
 CHUNK_BYTES, PART_KEYS = 4 << 20, 1_500_000
 #: Rows of a key that are all compared with each other; above it see ``_pairs``.
 ALL_PAIRS = 12
-_BUFFER = 1 << 16
+_BUFFER, _TEXT_BUFFER = 1 << 16, 1 << 17
 _POSITION = np.uint64((1 << 20) - 1)
 _REACH = PASSAGE - 1
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 3)
-        return value
-
-
-_KNOWN = _WordHashes()
-
-
-def shingles(text: bytes, known: _WordHashes) -> np.ndarray:
-    """64-bit hashes of all runs of five words (ASCII white space, A-Z in lower case)."""
-    words = text.lower().split()
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    n = max(0, len(words) - SHINGLE + 1)
-    out = np.zeros(n, dtype=np.uint64)
-    for i in range(SHINGLE):
-        out = out * _FACTOR + hashes[i : i + n]
-    return mixed(out, 9)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[32, *range(9, 14)]] = True
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words between ASCII white space in a buffer."""
+    word = np.zeros(len(data) + 2, dtype=np.int8)
+    word[1:-1] = ~_SPACE[data]
+    edges = np.flatnonzero(np.diff(word))
+    start, length = edges[::2], edges[1::2] - edges[::2]
+    return start, mixed(Hashes(data).of(start, length) + length.astype(np.uint64), 7)
+
+
+def shingles(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Of each text the hashes of all runs of five words (A-Z in lower case), and the number of words."""
+    out: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= _TEXT_BUFFER):
+            size += len(texts[end]) + 1
+            end += 1
+        lengths = np.array([len(t) + 1 for t in texts[at:end]], dtype=np.int64)
+        data = np.frombuffer((b" ".join(texts[at:end]) + b" ").lower(), dtype=np.uint8)
+        start, hashes = _word_hashes(data)
+        words = np.diff(np.searchsorted(start, np.concatenate([[0], np.cumsum(lengths)])))
+        n = max(0, len(hashes) - SHINGLE + 1)
+        runs = np.zeros(n, dtype=np.uint64)
+        for i in range(SHINGLE):
+            runs = runs * _FACTOR + hashes[i : i + n]
+        runs = mixed(runs, 9)
+        first = np.cumsum(words) - words
+        out += [runs[f : f + max(0, w - SHINGLE + 1)] for f, w in zip(first.tolist(), words.tolist(), strict=True)]
+        counts.append(words)
+        at = end
+    return out, np.concatenate([*counts, np.zeros(0, np.int64)])
 
 
 def compact_windows(values: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -87,7 +102,7 @@ def find_windows(texts: list[bytes], rank: np.ndarray) -> Found:
     The context is the window's part within reach of a passage around the centre: ``lo`` to ``hi``. Besides,
     ``doc``, the centre ``at`` and each document's shingles are kept.
     """
-    own = [shingles(t, _KNOWN) for t in texts]
+    own, words = shingles(texts)
     parts: list[tuple[np.ndarray, ...]] = []
     held: list[tuple[int, int, np.ndarray]] = []
 
@@ -133,7 +148,7 @@ def find_windows(texts: list[bytes], rank: np.ndarray) -> Found:
         for i in range(6)
     )
     found = Found(key, context, rank[doc], {"doc": doc, "lo": lo, "hi": hi, "at": at})
-    found.shingles = own
+    found.shingles, found.words = own, words
     return found
 
 
@@ -342,7 +357,7 @@ def _passages(parts: int):
             {
                 "doc_id": left["doc_id"].array,
                 "rank": texts.rank[at],
-                "n_words": [len(texts.data[i].split()) for i in at],
+                "n_words": found.words[at],
                 "passages": [flat[i] for i in at],
                 "others": [sorted(others[i]) for i in at],
             }
