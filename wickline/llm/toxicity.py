@@ -130,7 +130,7 @@ def train(
     labels: DataFrame,
     usable: Column,
     label: str = "toxic",
-    per_class: int = 4000,
+    per_class: int = 3000,
     max_chars: int = 65536,
 ) -> Model:
     """Fit on a bounded sample: ``per_class`` labelled documents a class, of at most ``max_chars``.

@@ -97,10 +97,13 @@ def write_archives(pages: DataFrame, path: str, at_least: int = 0, date: str = "
     import zstandard
 
     spark = pages.sparkSession
-    picked = pages.select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
-    picked = picked.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS).collect()
+    total, n = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0)), F.count("*")).first()
+    # About SAMPLE_RECORDS rows by hash, so that what reaches the driver is bounded whatever the table's size.
+    share = min(1.0, SAMPLE_RECORDS / max(n, 1))
+    chosen = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 30)) < int(share * (1 << 30))
+    picked = pages.filter(chosen).select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    picked = sorted(picked.limit(2 * SAMPLE_RECORDS).collect(), key=lambda r: (r.page_id is None, r.page_id or 0, r.html or ""))
     trained = build_dictionary([record(r.page_id, r.url, r.html, None, False, date) for r in picked])
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
 
     def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = zstandard.ZstdCompressionDict(trained)
