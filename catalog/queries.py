@@ -12,7 +12,7 @@ from catalog import inputs as I
 from wickline import functions as fn
 from wickline import operators as op
 from wickline import plans, sources
-from wickline.plans.jobs import to_bronze, touched_bars
+from wickline.plans.jobs import rebuilt_bars, to_bronze
 from wickline.schemas import (
     BRONZE,
     BRONZE_PARTITIONS,
@@ -320,7 +320,7 @@ def volume_bounds(spark, sf):
 
 @checked(f"SELECT {_BAR} FROM ({I.GOLD}) ORDER BY timestamp DESC, symbol LIMIT {op.TABLE_ROWS}")
 def latest_bars(spark, sf):
-    return op.latest(_plain(I.gold(spark, sf)))
+    return op.latest(_plain(I.gold(spark, sf)), op.TABLE_ROWS)
 
 
 @checked(
@@ -524,11 +524,17 @@ SELECT open_time, taker_buy_base, taker_buy_quote FROM silver_klines
 WHERE symbol = 'ERROR' AND date = DATE '2024-01-20' ORDER BY open_time"""
 
 
-@checked(_views(f"{_TAKER} LIMIT 100"))
+@checked(_views(_TAKER))
 def sql_taker(spark, sf):
     return _ask(spark, sf, _TAKER)
 
 
+@checked(_views(f"{_TAKER} LIMIT 40"))
+def sql_capped(spark, sf):
+    """The feature is the cap; the order is on a key, so the rows are the same in both engines."""
+    return _ask(spark, sf, _TAKER, cap=40)
+
+
 _NAMES = """
 WITH named AS (SELECT DISTINCT symbol, coin_name, cast(date AS {text}) AS date FROM silver_klines)
 SELECT * FROM named"""
@@ -608,15 +614,16 @@ _SEVEN_HOURS = 7 * HOUR
 
 @checked(
     f"""
-WITH s AS ({I.SILVER}), b AS (SELECT DISTINCT symbol, open_time // {_SEVEN_HOURS} AS bucket
-                              FROM s WHERE ingestion_date >= '2024-01-15')
-SELECT {_BAR} FROM ({I.bars_sql(f"SELECT s.* FROM s SEMI JOIN b ON s.symbol = b.symbol "
-                               f"AND s.open_time // {_SEVEN_HOURS} = b.bucket", _SEVEN_HOURS)})"""
+WITH s AS ({I.SILVER}), g AS ({I.bars_sql("SELECT * FROM s", _SEVEN_HOURS)}),
+b AS (SELECT DISTINCT symbol,
+        cast(make_timestamp(open_time // {_SEVEN_HOURS} * {_SEVEN_HOURS}) AS date) AS date
+      FROM s WHERE ingestion_date >= '2024-01-15')
+SELECT {_BAR} FROM g SEMI JOIN b ON g.symbol = b.symbol AND g.date = b.date"""
 )
 def bars_recomputed(spark, sf):
     rows = I.silver(spark, sf)
     batch = rows.filter("ingestion_date >= '2024-01-15'")
-    return _plain(touched_bars(rows, batch, _SEVEN_HOURS))
+    return _plain(rebuilt_bars(rows, batch, _SEVEN_HOURS))
 
 
 @checked(
@@ -673,3 +680,27 @@ def medallion_run(spark, sf):
     bronze, silver, gold = (f"{home}/{layer}" for layer in ("bronze", "silver", "gold"))
     plans.run_pipeline(spark, raw, bronze, silver, gold, metadata, "2024-02-01")
     return _plain(sources.read_table(spark, gold, GOLD))
+
+
+_CORRECTED = (
+    f"SELECT * REPLACE (close + 1 AS close, DATE '2024-02-02' AS ingestion_date) FROM ({_SOUND}) "
+    "WHERE open_time % 3600000000 = 0"
+)
+_BOTH = f"SELECT * REPLACE (DATE '2024-02-01' AS ingestion_date) FROM ({_SOUND}) UNION ALL {_CORRECTED}"
+
+
+@checked(f"SELECT {_BAR} FROM ({I.bars_sql(I.deduped_sql(_BOTH), 300_000_000)})")
+def medallion_two_batches(spark, sf):
+    """A second batch corrects the candle of each full hour; the first is then run again."""
+    home = scratch_path(spark, "two-batches")
+    first = I.sound_klines(spark, sf)
+    second = first.filter("open_time % 3600000000 = 0").withColumn("close", F.col("close") + 1)
+    metadata = f"{home}/metadata"
+    I.dimension(spark).write.option("header", True).csv(metadata)
+    bronze, silver, gold = (f"{home}/{layer}" for layer in ("bronze", "silver", "gold"))
+    for rows, day in ((first, "2024-02-01"), (second, "2024-02-02")):
+        raw = I.write_raw_tree(rows, f"{home}/{day}")
+        plans.run_pipeline(spark, raw, bronze, silver, gold, metadata, day, window_seconds=300)
+    plans.refine(spark, bronze, silver, metadata, "2024-02-01")
+    plans.aggregate(spark, silver, gold, "2024-02-01", window_seconds=300)
+    return _plain(sources.read_table(spark, gold, GOLD))

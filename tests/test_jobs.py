@@ -7,7 +7,7 @@ from wickline.functions import DAY_US, HOUR_US
 from wickline.operators import QualityError, ohlcv
 from wickline.operators import tables
 from wickline.plans import aggregate, ingest, refine, run_pipeline
-from wickline.plans.jobs import touched_bars, yesterday
+from wickline.plans.jobs import rebuilt_bars, yesterday
 from wickline.schemas import BRONZE, GOLD, SILVER
 from wickline.sources import read_table
 
@@ -143,7 +143,7 @@ def test_a_bucket_shared_by_two_batches_is_recomputed_whole(spark, home):
 
 @pytest.mark.parametrize("window", [7 * HOUR_US, 3 * DAY_US + 5])
 @pytest.mark.parametrize("literals", [1000, 1])
-def test_touched_bars_equal_a_full_rebuild(spark, candles, monkeypatch, window, literals):
+def test_rebuilt_bars_equal_a_full_rebuild(spark, candles, monkeypatch, window, literals):
     from wickline.functions import utc_date
     from pyspark.sql import functions as F
 
@@ -152,9 +152,10 @@ def test_touched_bars_equal_a_full_rebuild(spark, candles, monkeypatch, window,
              "symbol": "AB"[i % 3 == 0]} for i in range(200)]
     silver = candles(rows).withColumn("date", utc_date("open_time"))
     batch = silver.filter((F.col("open_time") >= DAY0 + 50 * HOUR_US) & (F.col("open_time") < DAY0 + 60 * HOUR_US))
-    buckets = {(r.symbol, r.open_time // window * window) for r in batch.collect()}
-    full = [r for r in ohlcv(silver, window).collect() if (r.symbol, r.timestamp) in buckets]
-    assert sorted(touched_bars(silver, batch, window).collect()) == sorted(full)
+    day = lambda us: us // DAY_US
+    days = {(r.symbol, day(r.open_time // window * window)) for r in batch.collect()}
+    full = [r for r in ohlcv(silver, window).collect() if (r.symbol, day(r.timestamp)) in days]
+    assert sorted(rebuilt_bars(silver, batch, window).collect()) == sorted(full)
 
 
 def test_invalid_prices_stop_the_gold_job(spark, home):
@@ -172,3 +173,32 @@ def test_jobs_insist_on_utc(spark, home):
             ingest(spark, home.raw, home.bronze)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_small_batch_does_not_count_twice(spark, home):
+    """A batch without gaps of its own takes the width of the partitions it touches."""
+    home.put("BTCUSDT", "d1", [(DAY0 + i * MINUTE, 1.0) for i in range(5)])
+    home.run(spark, "2024-01-01")
+    home.put("BTCUSDT", "d1", [(DAY0 + 2 * MINUTE, 3.0)])
+    home.run(spark, "2024-01-02")
+    silver = read_table(spark, home.silver, SILVER)
+    assert sum(b[4] for b in home.bars(spark)) == silver.agg({"volume": "sum"}).first()[0] == 5.0
+    aggregate(spark, home.silver, home.gold, "2024-01-02", window_seconds=300)
+    assert [b[4] for b in home.bars(spark)] == [5.0]
+
+
+def test_batches_in_any_order_give_the_same_silver(spark, home):
+    for number, close in ((1, 1.0), (2, 9.0), (3, 4.0)):
+        home.put("BTCUSDT", "d1", [(DAY0, close), (DAY0 + number * MINUTE, close)])
+        ingest(spark, home.raw, home.bronze, f"2024-01-0{number}")
+    for number in (3, 1, 2, 1):
+        refine(spark, home.bronze, home.silver, home.metadata, f"2024-01-0{number}")
+
+    def rows():
+        table = read_table(spark, home.silver, SILVER)
+        stable = [c for c, kind in table.dtypes if not kind.startswith("timestamp")]
+        return sorted(map(tuple, table.select(*stable).collect()))
+
+    stepwise = rows()
+    refine(spark, home.bronze, home.silver, home.metadata)
+    assert stepwise == rows()

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from catalog.queries import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,7 +31,7 @@ def _normal(rows):
     return sorted(tuple(value(v) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_oracle(spark, duck, name):
     got = entry_point.queries()[name](spark, SF_DIR)
     want = duck.sql(entry_point.oracle_sql()[name])
@@ -42,7 +43,7 @@ def test_query_equals_its_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -3,6 +3,7 @@ import pytest
 from wickline.functions import utc_date
 from wickline.operators import upsert
 from wickline.plans import ask_sql
+from wickline.plans.adhoc import ROW_CAP
 from wickline.schemas import GOLD, GOLD_KEYS
 from wickline.sources import register_views
 
@@ -32,7 +33,7 @@ def gold(spark, tmp_path_factory):
     ("TABLE gold_ohlcv", 100),
 ])
 def test_queries_run_under_the_cap(spark, gold, sql, rows):
-    assert ask_sql(spark, sql).count() == rows
+    assert ask_sql(spark, sql, cap=ROW_CAP).count() == rows
 
 
 def test_cap_can_be_changed_or_lifted(spark, gold):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wickline.functions import as_date
 
-MAX_DAYS = 30  # fixed value: the longest range a selection may span by default
+MAX_DAYS = 30  # fixed value: the longest range that a page may show; a guard only where it is passed
 CHART_ROWS = 5000  # fixed values: how many rows a chart and a table show
 TABLE_ROWS = 1000
 
@@ -19,7 +19,7 @@ def load_bars(
     symbol: str,
     start: date | str,
     end: date | str,
-    max_days: int | None = MAX_DAYS,
+    max_days: int | None = None,
 ) -> DataFrame:
     """Bars of one symbol from ``start`` to ``end`` inclusive, plus ``time`` as a timestamp.
 
@@ -69,7 +69,7 @@ def in_time_order(bars: DataFrame) -> DataFrame:
     return bars.orderBy("timestamp", "symbol")
 
 
-def latest(bars: DataFrame, n: int = TABLE_ROWS, newest_first: bool = True) -> DataFrame:
+def latest(bars: DataFrame, n: int, newest_first: bool = True) -> DataFrame:
     """The ``n`` newest bars, newest or oldest first. Planned as a top-k, never as a full sort."""
     newest = bars.orderBy(F.col("timestamp").desc(), "symbol").limit(n)
     return newest if newest_first else newest.orderBy("timestamp", F.col("symbol").desc())

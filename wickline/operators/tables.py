@@ -8,6 +8,7 @@ the job without a batch date (bronze is only ever appended to).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,9 +107,12 @@ def upsert(
     partitions: list[str] = TABLE_PARTITIONS,
     order: list[str] | None = None,
     unique: bool = False,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Keyed merge: a source row replaces the table row with its key, or is added.
 
+    With ``resolve``, a function that keeps one row of each key, it decides between old and new rows.
+
     ``partitions`` must be functions of ``keys`` (a key always lives in one partition). Only the
     partitions that occur in the source are read and rewritten, through one shuffle, with the rows
     of each file ordered by ``order``. The first call creates the table.
@@ -122,11 +126,25 @@ def upsert(
         if table_exists(spark, path):
             table = read_table(spark, path, schema)
             touched = restrict(table, batch, partitions, partitions)
-            kept = touched.join(batch.select(*keys), keys, "left_anti")
-            batch = kept.select(*schema.names).unionByName(batch)
+            if resolve is None:
+                kept = touched.join(batch.select(*keys), keys, "left_anti")
+                batch = kept.select(*schema.names).unionByName(batch)
+            else:
+                batch = resolve(touched.select(*schema.names).unionByName(batch))
         _write_partitions(_sorted_files(batch, partitions, order or []), path, partitions)
 
 
+def replace_partitions(
+    source: DataFrame,
+    path: str,
+    schema: StructType,
+    partitions: list[str] = TABLE_PARTITIONS,
+    order: list[str] | None = None,
+) -> None:
+    """Write ``source`` in place of the whole partitions that occur in it; it must not read ``path``."""
+    _write_partitions(_sorted_files(conform(source, schema), partitions, order or []), path, partitions)
+
+
 def cluster(
     spark: SparkSession,
     path: str,

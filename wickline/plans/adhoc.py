@@ -1,4 +1,4 @@
-"""Read-only SQL over the registered views, with a row cap."""
+"""Read-only SQL over the registered views."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROW_CAP = 100  # fixed value
+ROW_CAP = 100  # fixed value: rows that a console shows; never applied unless asked for
 
 # These run arbitrary JVM code from inside a query.
 _ESCAPES = re.compile(r"\b(?:reflect|try_reflect|java_method)\b", re.IGNORECASE)
@@ -19,10 +19,10 @@ def ask_sql(
     spark: SparkSession,
     sql: str,
     args: dict | None = None,
-    cap: int | None = ROW_CAP,
+    cap: int | None = None,
     require: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The result of one query, at most ``cap`` rows (``None`` lifts the cap).
+    """The result of one query, all rows, or at most ``cap`` if that is given.
 
     The text is placed inside a subquery, where Spark's grammar admits nothing but a query: statements
     that define, change or set anything fail to parse and never run. ``args`` binds ``:name`` markers.

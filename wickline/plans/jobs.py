@@ -7,18 +7,17 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.functions import SECOND_US, as_date, bucket_start, utc_date
+from wickline.functions import DAY_US, SECOND_US, as_date, bucket_start, utc_date
 from wickline.operators.bars import ohlcv
 from wickline.operators.dedup import dedup
 from wickline.operators.enrich import to_silver
 from wickline.operators.gaps import FALLBACK_SECONDS, infer_interval
 from wickline.operators.quality import validate
-from wickline.operators.tables import append, restrict, upsert
+from wickline.operators.tables import append, replace_partitions, restrict, upsert
 from wickline.schemas import (
     BRONZE,
     BRONZE_PARTITIONS,
     GOLD,
-    GOLD_KEYS,
     SILVER,
     SILVER_KEYS,
     TABLE_PARTITIONS,
@@ -65,6 +64,9 @@ def refine(
 ) -> int:
     """Upsert a bronze batch (all of bronze without ``batch_date``) into silver.
 
+    Of rows with one key the newest ingestion wins, whatever the order in which batches arrive, so a
+    batch may be run again or late.
+
     Rows without a key cannot be merged. They are left out, and their number is returned; it is
     counted while the batch is written, without a further pass.
     """
@@ -74,22 +76,24 @@ def refine(
     seen = Observation()
     batch = batch.observe(seen, F.count_if(~F.coalesce(F.expr(has_key), F.lit(False))).alias("n"))
     rows = to_silver(dedup(batch.filter(has_key)), read_metadata(spark, metadata))
-    upsert(spark, rows, silver, SILVER_KEYS, SILVER, unique=True)
+    upsert(spark, rows, silver, SILVER_KEYS, SILVER, unique=True, resolve=dedup)
     return seen.get["n"]
 
 
-def touched_bars(silver: DataFrame, batch: DataFrame, window_us: int) -> DataFrame:
-    """Bars of every bucket that ``batch`` falls into, each from all of its silver rows.
+def rebuilt_bars(silver: DataFrame, batch: DataFrame, window_us: int) -> DataFrame:
+    """All bars of the gold partitions that ``batch`` falls into, each from all of its silver rows.
 
-    A bucket may have rows of earlier batches, so aggregating the batch alone would replace a whole
-    bar with a part of it. The dates a bucket covers prune the silver scan.
+    A bar belongs to the date it starts on. Whole ``(symbol, date)`` partitions are rebuilt, so that no
+    bar of another width or of an earlier state of silver can stay beside the new ones. The dates that
+    a partition's bars cover prune the silver scan.
     """
-    bucket = bucket_start("open_time", window_us)
-    buckets = batch.select("symbol", bucket.alias("bucket")).distinct()
-    first, last = utc_date("bucket"), utc_date(F.col("bucket") + (window_us - 1))
-    spread = buckets.withColumn("date", F.explode(F.sequence(first, last)))
+    start = utc_date(bucket_start("open_time", window_us))
+    days = batch.select("symbol", start.alias("start_date")).distinct()
+    beyond = (window_us - 1) // DAY_US + (DAY_US % window_us > 0)
+    covered = F.sequence("start_date", F.date_add("start_date", beyond))
+    spread = days.withColumn("date", F.explode(covered))
     rows = restrict(
-        silver.withColumn("bucket", bucket), spread, ["symbol", "bucket"], TABLE_PARTITIONS
+        silver.withColumn("start_date", start), spread, ["symbol", "start_date"], TABLE_PARTITIONS
     )
     return ohlcv(rows, window_us)
 
@@ -106,8 +110,9 @@ def aggregate(
 ) -> int | None:
     """Bring gold up to date with a silver batch; returns the bar width, ``None`` for an empty batch.
 
-    The bar width follows the spacing of the batch unless ``window_seconds`` is given. Unless
-    ``skip_optimize``, the rewritten partitions are ordered by ``timestamp`` in the same write.
+    The bar width follows the spacing of all silver rows in the partitions that the batch touches, unless
+    ``window_seconds`` is given. Unless ``skip_optimize``, the rewritten partitions are ordered by
+    ``timestamp`` in the same write.
     """
     require_utc(spark)
     table = read_table(spark, silver, SILVER)
@@ -120,10 +125,14 @@ def aggregate(
             return None
         if not skip_validation:
             validate(batch)
-        seconds = window_seconds or infer_interval(batch, fallback_seconds)
-        bars = touched_bars(table, batch, seconds * SECOND_US)
-        order = None if skip_optimize else ["timestamp"]
-        upsert(spark, bars, gold, GOLD_KEYS, GOLD, order=order, unique=True)
+        if window_seconds:
+            seconds = window_seconds
+        else:
+            touched = batch.select("symbol", utc_date("open_time").alias("date"))
+            whole = restrict(table, touched, TABLE_PARTITIONS, TABLE_PARTITIONS).filter("open_time IS NOT NULL")
+            seconds = infer_interval(whole, fallback_seconds)
+        bars = rebuilt_bars(table, batch, seconds * SECOND_US)
+        replace_partitions(bars, gold, GOLD, order=None if skip_optimize else ["timestamp"])
     return seconds
 
 
