@@ -627,13 +627,14 @@ def bars_recomputed(spark, sf):
 
 
 @checked(
-    "SELECT timestamp, cast(date AS varchar) AS date, open, high, low, close, volume "
+    "SELECT symbol, strftime(make_timestamp(timestamp), '%Y-%m-%d %H:%M:%S') AS timestamp, "
+    "cast(date AS varchar) AS date, open, high, low, close, volume "
     f"FROM ({_HOURLY})"
 )
 def csv_export(spark, sf):
     path = scratch_path(spark, "export")
     op.export_csv(I.gold(spark, sf, HOUR), path)
-    columns = "timestamp LONG, date STRING, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE"
+    columns = "symbol STRING, timestamp STRING, date STRING, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE"
     return spark.read.schema(columns).csv(path, header=True)
 
 

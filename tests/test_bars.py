@@ -14,16 +14,14 @@ QUICK = settings(
 )
 
 
-def test_ten_seconds_make_one_five_minute_bar(candles):
+def test_a_bar_takes_each_price_from_its_own_candle(candles):
+    prices = [(7.0, 9.5, 6.5, 8.0), (8.0, 8.25, 2.0, 3.0), (3.0, 14.0, 3.0, 12.0), (12.0, 12.5, 4.0, 5.5)]
     rows = [
-        {"open": 100.0 + i, "high": 101.0 + i, "low": 99.0 - i, "close": 100.5 + i,
-         "volume": 10.0, "num_trades": 5}
-        for i in range(10)
-    ]
-    bars = ohlcv(candles(rows), 300 * 1_000_000).collect()
-    assert [tuple(b) for b in bars] == [
-        ("BTCUSDT", 0, 100.0, 110.0, 90.0, 109.5, 100.0, 50, dt.date(1970, 1, 1))
+        {"open": o, "high": h, "low": low, "close": c, "volume": 0.5 * i, "num_trades": i, "open_time": i * 37_000_000}
+        for i, (o, h, low, c) in enumerate(prices)
     ]
+    bar, = ohlcv(candles(rows, symbol="XRPUSDT"), 120_000_000).collect()
+    assert tuple(bar) == ("XRPUSDT", 0, 7.0, 14.0, 2.0, 5.5, 3.0, 6, dt.date(1970, 1, 1))
 
 
 def test_bars_have_the_declared_schema(candles):

@@ -190,13 +190,13 @@ def test_staging_copies_are_dropped(spark, tmp_path):
 
 def test_csv_export_is_in_time_order_with_a_header(spark, tmp_path):
     path = str(tmp_path / "csv")
-    export_csv(_bars(spark, [("A", 2, 2.5), ("A", 1, 1.5)]), path)
+    export_csv(_bars(spark, [("A", 2_000_000, 2.5), ("A", 1_000_000, 1.5)]), path)
     lines = []
     for part in sorted(p for p in os.listdir(path) if p.endswith(".csv")):
         with open(os.path.join(path, part)) as f:
             lines += [line for line in f.read().splitlines()]
-    assert lines[0] == "timestamp,date,open,high,low,close,volume"
-    assert [x for x in lines if not x.startswith("timestamp")] == [
-        "1,1970-01-01,1.5,1.5,1.5,1.5,1.0",
-        "2,1970-01-01,2.5,2.5,2.5,2.5,1.0",
+    assert lines[0] == "symbol,timestamp,date,open,high,low,close,volume"
+    assert [x for x in lines if not x.startswith("symbol")] == [
+        "A,1970-01-01 00:00:01,1970-01-01,1.5,1.5,1.5,1.5,1.0",
+        "A,1970-01-01 00:00:02,1970-01-01,2.5,2.5,2.5,2.5,1.0",
     ]
