@@ -142,12 +142,10 @@ def test_a_bucket_shared_by_two_batches_is_recomputed_whole(spark, home):
 
 
 @pytest.mark.parametrize("window", [7 * HOUR_US, 3 * DAY_US + 5])
-@pytest.mark.parametrize("literals", [1000, 1])
-def test_rebuilt_bars_equal_a_full_rebuild(spark, candles, monkeypatch, window, literals):
+def test_rebuilt_bars_equal_a_full_rebuild(spark, candles, window):
     from wickline.functions import utc_date
     from pyspark.sql import functions as F
 
-    monkeypatch.setattr(tables, "MAX_LITERALS", literals)
     rows = [{"open_time": DAY0 + i * HOUR_US, "open": float(i), "close": float(i),
              "symbol": "AB"[i % 3 == 0]} for i in range(200)]
     silver = candles(rows).withColumn("date", utc_date("open_time"))
@@ -202,3 +200,28 @@ def test_batches_in_any_order_give_the_same_silver(spark, home):
     stepwise = rows()
     refine(spark, home.bronze, home.silver, home.metadata)
     assert stepwise == rows()
+
+
+def test_the_batch_is_read_from_the_silver_partitions_it_reached(spark, home):
+    from wickline.plans.jobs import _of_batch, _reached
+
+    for number in range(1, 5):
+        home.put("BTCUSDT", f"d{number}", [(DAY0 + number * DAY_US, float(number))])
+        ingest(spark, home.raw, home.bronze, f"2024-01-0{number}", date_pattern=f"d{number}")
+    refine(spark, home.bronze, home.silver, home.metadata)
+    batch = _of_batch(_reached(spark, read_table(spark, home.silver, SILVER), home.bronze, "2024-01-03"), "2024-01-03")
+    assert [r.close for r in batch.collect()] == [3.0]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "symbol#" in filters and "date#" in filters
+
+
+def test_ingest_counts_what_it_leaves_out(spark, home):
+    from pathlib import Path
+
+    home.put("BTCUSDT", "d1", [(DAY0, 1.0)])
+    stray = Path(home.raw) / "stray.csv"
+    stray.write_text("1,1,1,1,1,1,1,1,1,1,1,1\n")
+    assert ingest(spark, home.raw, home.bronze, "2024-01-01") == {"damaged_archives": 0, "rows_without_symbol": 1}
+    (Path(home.raw) / "BTCUSDT" / "junk.zip").write_bytes(b"junk")
+    assert ingest(spark, home.raw, home.bronze, "2024-01-01") == {"damaged_archives": 1, "rows_without_symbol": 1}

@@ -28,7 +28,7 @@ from wickline.operators import (
     volume_bounds,
 )
 from wickline.schemas import GOLD, GOLD_KEYS
-from wickline.sources import read_table
+from wickline.sources import newest_date, read_table
 
 NAN = float("nan")
 
@@ -55,11 +55,21 @@ def test_24h_slice_opens_only_the_newest_partitions(spark, tmp_path):
     for c in ("open", "high", "low"):
         full = full.withColumn(c, F.col("close"))
     upsert(spark, full.withColumn("num_trades", F.lit(1)), path, GOLD_KEYS, GOLD)
-    recent = last_24h(read_table(spark, path, GOLD))
-    assert recent.count() == 2
-    plan = recent._jdf.queryExecution().executedPlan()
-    scans = plan.toString()
-    assert "PartitionFilters: [isnotnull(date" in scans
+    bars = read_table(spark, path, GOLD)
+    assert last_24h(bars).count() == 2
+    newest = newest_date(spark, path)
+    assert newest == dt.date(1970, 1, 6)
+    assert last_24h(bars, newest).count() == 2
+    for report in (last_24h(bars, newest), freshness(bars, dt.datetime(1970, 1, 7), newest),
+                   market_overview(bars, dt.datetime(1970, 1, 7), newest), volume_24h(bars, newest),
+                   top_movers(bars, 2, newest=newest), pct_change_24h(bars, newest)):
+        steps = report._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        scans = [s for s in steps.split("\n\n") if s.strip().split("\n")[0].find(") Scan parquet") > 0]
+        assert scans and all("PartitionFilters: [isnotnull(date" in s for s in scans)
+    (tmp_path / "none").mkdir()
+    assert newest_date(spark, str(tmp_path / "none")) is None
 
 
 def test_overview_ties_zero_first_close_and_volume(spark):

@@ -168,3 +168,28 @@ def test_views_follow_the_tables(spark, tmp_path):
         register_views(spark, gold=path)
         assert ask_sql(spark, "SELECT count(*) AS n FROM gold_ohlcv").first().n == n
     assert os.path.isdir(path)
+
+
+@pytest.mark.parametrize("base", ["raw/x", "plain"])
+def test_symbols_are_taken_below_the_root_wherever_it_lies(spark, tmp_path, base):
+    folder = tmp_path / base / "BTCUSDT" / "1m"
+    folder.mkdir(parents=True)
+    (folder / "BTCUSDT-1m-d.csv").write_text(_lines(1))
+    with zipfile.ZipFile(folder / "e[1].zip", "w") as z:
+        z.writestr("e.csv", _lines(2))
+    for root in (str(tmp_path / base), f"file://{tmp_path / base}/"):
+        assert _times(read_raw(spark, root)) == [("BTCUSDT", 1), ("BTCUSDT", 2)]
+
+
+def test_archive_contents_pass_no_shuffle(spark, raw):
+    from pyspark.sql import Observation
+
+    from wickline.sources.raw import _archives
+
+    plan = read_raw(spark, raw)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    damaged = Observation()
+    assert read_raw(spark, raw, damaged=damaged).count() == 7
+    assert damaged.get == {"n": 0}
+    only = _archives(spark, raw, None, None, None, only=[r.path for r in _archives(spark, raw, None, None, None).collect()])
+    assert only.count() == 1

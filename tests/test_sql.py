@@ -30,6 +30,7 @@ def gold(spark, tmp_path_factory):
     ("WITH x AS (SELECT * FROM gold_ohlcv) SELECT count(*) FROM x", 1),
     ("SELECT 'DROP' AS `update` -- CREATE", 1),
     ("VALUES 1, 2", 2),
+    ("SELECT 'reflect', 'it''s from csv.x' -- java_method(", 1),
     ("TABLE gold_ohlcv", 100),
 ])
 def test_queries_run_under_the_cap(spark, gold, sql, rows):
@@ -71,8 +72,10 @@ def test_everything_but_a_query_is_refused(spark, gold, sql):
 
 
 def test_files_are_not_readable_as_tables(spark, gold):
-    with pytest.raises(Exception, match="parquet"):
-        ask_sql(spark, f"SELECT * FROM parquet.`{gold}`")
+    for path in (f"parquet.`{gold}`", f"PARQUET . `{gold}`", f"`parquet`.`{gold}`", "gold_ohlcv, parquet.x",
+                 f"IDENTIFIER('parquet.`{gold}`')", f"`org.apache.x.ParquetFileFormat`.`{gold}`"):
+        with pytest.raises(ValueError, match="parquet|identifier"):
+            ask_sql(spark, f"SELECT * FROM {path}")
     assert spark.sql(f"SELECT * FROM parquet.`{gold}`").count() == 300
 
 
@@ -80,7 +83,14 @@ def test_required_partition_filters(spark, gold):
     need = ("symbol", "date")
     good = "SELECT max(high) FROM gold_ohlcv WHERE symbol = 'S1' AND date = DATE '1970-01-02'"
     assert ask_sql(spark, good, require=need).count() == 1
-    for bad in ("SELECT 1 FROM gold_ohlcv", "SELECT 1 FROM gold_ohlcv WHERE symbol = 'S1'",
+    for also in ("symbol IN ('S1', 'S2') AND date BETWEEN DATE '1970-01-02' AND DATE '1970-01-03'",
+                 "symbol = 'S1' AND date > DATE '1970-01-02' AND date <= DATE '1970-01-03'"):
+        assert ask_sql(spark, f"SELECT max(high) FROM gold_ohlcv WHERE {also}", require=need).count() == 1
+    for bad in ("SELECT 1 FROM gold_ohlcv WHERE symbol IS NOT NULL AND date IS NOT NULL",
+                "SELECT 1 FROM gold_ohlcv WHERE symbol = 'S1' AND date >= DATE '1970-01-02'",
+                "SELECT 1 FROM gold_ohlcv WHERE symbol != 'S1' AND date = DATE '1970-01-02'",
+                "SELECT 1 FROM gold_ohlcv WHERE (symbol = 'S1' OR high > 0) AND date = DATE '1970-01-02'",
+                "SELECT 1 FROM gold_ohlcv", "SELECT 1 FROM gold_ohlcv WHERE symbol = 'S1'",
                 f"{good} UNION ALL SELECT max(high) FROM gold_ohlcv WHERE date = DATE '1970-01-02'"):
         with pytest.raises(ValueError, match="symbol, date"):
             ask_sql(spark, bad, require=need)

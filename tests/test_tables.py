@@ -77,9 +77,7 @@ def test_upsert_rejects_bad_source_keys(spark, tmp_path, rows, message):
     assert not table_exists(spark, str(tmp_path / "t"))
 
 
-@pytest.mark.parametrize("limit", ["MAX_LITERALS", "MAX_PARTITIONS"])
-def test_many_touched_partitions_are_pruned_by_range(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(tables, limit, 2)
+def test_partitions_between_the_touched_ones_stay(spark, tmp_path):
     path = str(tmp_path / "t")
     old = [(s, d * DAY_US, 1.0) for s in "ABCDE" for d in range(5)]
     new = [(s, d * DAY_US + 1, 2.0) for s in "ACE" for d in (0, 2, 4)]
@@ -96,6 +94,21 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_path):
     plan = touched._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PartitionFilters") :]
     assert "symbol#" in filters and "date#" in filters
+    # Small key sets also prune the folders between the smallest and the largest key.
+    keys = str(tmp_path / "keys")
+    batch.write.parquet(keys)
+    touched = tables.restrict(read_table(spark, path, GOLD), spark.read.parquet(keys), PARTS, PARTS)
+    assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_load_of_unique_keys_is_written_once(spark, tmp_path, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("staged")
+
+    monkeypatch.setattr(tables, "staged", refuse)
+    path = str(tmp_path / "t")
+    upsert(spark, _bars(spark, [("A", 0, 1.0)]), path, GOLD_KEYS, GOLD, unique=True)
+    assert _closes(spark, path) == {("A", 0): 1.0}
 
 
 SMALL = settings(

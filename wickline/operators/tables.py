@@ -19,42 +19,24 @@ from wickline.schemas import TABLE_PARTITIONS, conform
 from wickline.session import staged
 from wickline.sources.tables import read_table, table_exists
 
-MAX_LITERALS = 1000
-MAX_PARTITIONS = 50_000
-
 
 def append(df: DataFrame, path: str, partitions: list[str]) -> None:
     """Add rows to a log table. No shuffle: each task writes what it holds."""
     df.write.partitionBy(*partitions).mode("append").parquet(path)
 
 
-def _covering_filters(keys: DataFrame, columns: list[str]) -> list[Column]:
-    """Literal filters that cover the values of ``columns`` in ``keys``: a list if short, else a range.
-
-    Only a bounded number of distinct values comes to the driver; beyond it, only the two ends do.
-    """
-    found = keys.select(*columns).distinct().limit(MAX_PARTITIONS + 1).collect()
-    if len(found) > MAX_PARTITIONS:
-        ends = keys.agg(*[F.struct(F.min(c), F.max(c)) for c in columns]).first()
-        return [F.col(c).between(F.lit(low), F.lit(high)) for c, (low, high) in zip(columns, ends)]
-    filters = []
-    for i, c in enumerate(columns):
-        values = sorted({row[i] for row in found} - {None})
-        short = len(values) <= MAX_LITERALS
-        filters.append(
-            F.col(c).isin(values) if short else F.col(c).between(F.lit(values[0]), F.lit(values[-1]))
-        )
-    return filters
-
-
 def restrict(target: DataFrame, keys: DataFrame, on: list[str], prune: list[str]) -> DataFrame:
     """Rows of ``target`` whose ``on`` values occur in ``keys``.
 
-    Literal filters on the ``prune`` columns let the scan skip partition folders before the exact
-    semi-join; the number of literals is bounded, a longer list becomes a range.
+    The smallest and the largest value of each ``prune`` column, one row, come to the driver and let the
+    scan skip the partition folders outside. The semi-join is exact; where its keys are small enough for
+    Spark to broadcast, they also prune the folders in between when the query runs.
     """
-    pruned = reduce(DataFrame.filter, _covering_filters(keys, prune), target)
-    return pruned.join(keys.select(*on).distinct(), on, "left_semi")
+    ends = keys.agg(*[F.struct(F.min(c), F.max(c)) for c in prune]).first()
+    within = [F.col(c).between(F.lit(low), F.lit(high)) for c, (low, high) in zip(prune, ends, strict=True)]
+    # The bounds drop no key. Stated on the keys too, they make Spark consider dynamic pruning.
+    wanted = reduce(DataFrame.filter, within, keys).select(*on).distinct()
+    return reduce(DataFrame.filter, within, target).join(wanted, on, "left_semi")
 
 
 def _write_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
@@ -118,8 +100,11 @@ def upsert(
     of each file ordered by ``order``. The first call creates the table.
 
     A null or repeated source key is an error. ``unique`` skips that check, and its shuffle, for a
-    source that has one row per key by construction.
+    source that has one row per key by construction; its first load is written without being staged.
     """
+    if unique and not table_exists(spark, path):
+        replace_partitions(source, path, schema, partitions, order)
+        return
     with staged(conform(source, schema), "upsert") as batch:
         if not unique:
             _check_keys(batch, keys)

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-import io
 import re
-from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROW_CAP = 100  # fixed value: rows that a console shows; never applied unless asked for
 
-# These run arbitrary JVM code from inside a query.
-_ESCAPES = re.compile(r"\b(?:reflect|try_reflect|java_method)\b", re.IGNORECASE)
-_RUN_ON_FILES = "spark.sql.runSQLOnFiles"
+# What a query says outside of its words: string literals and comments.
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|--[^\n]*|/\*.*?\*/""", re.DOTALL)
+# Reflection runs JVM code; identifier() makes names out of literals.
+_ESCAPES = re.compile(r"\b(?:reflect|try_reflect|java_method)\b|\bidentifier\s*\(", re.IGNORECASE)
+# Files as tables: format.name after FROM, JOIN, TABLE or a comma, or any part in backticks that is a path or a class.
+_FILES = re.compile(
+    r"(?:\bfrom|\bjoin|\btable|,)\s*`?(?:parquet|orc|csv|json|text|xml|avro|binaryfile|libsvm|image)`?\s*\."
+    r"|\.\s*`[^`]*[/\\:][^`]*`|`[^`]*\.[^`]*`\s*\.",
+    re.IGNORECASE,
+)
 
 
 def ask_sql(
@@ -26,7 +31,8 @@ def ask_sql(
 
     The text is placed inside a subquery, where Spark's grammar admits nothing but a query: statements
     that define, change or set anything fail to parse and never run. ``args`` binds ``:name`` markers.
-    With ``require``, each table scan must be pruned by all of those partition columns.
+    With ``require``, each table scan must be bounded on all of those partition columns: by equality,
+    by a list, or from both sides.
 
     This is a read-only gate, not a sandbox: it also closes file paths as tables and the reflection
     functions, but every view of the session stays readable.
@@ -34,27 +40,45 @@ def ask_sql(
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise ValueError("the query is empty")
-    if _ESCAPES.search(text):
-        raise ValueError("reflection functions are not allowed in a query")
-    before = spark.conf.get(_RUN_ON_FILES)
-    spark.conf.set(_RUN_ON_FILES, "false")
-    try:
-        result = spark.sql(f"SELECT * FROM (\n{text}\n)", args=args)
-    finally:
-        spark.conf.set(_RUN_ON_FILES, before)
+    words = _QUOTED.sub("''", text)
+    if _ESCAPES.search(words):
+        raise ValueError("reflection functions and identifier() are not allowed in a query")
+    if _FILES.search(words):
+        raise ValueError("files (parquet.`...`) are not allowed as tables")
+    query = f"SELECT * FROM (\n{text}\n)"
+    result = spark.sql(query, args=args)
     if require:
-        _require_pruning(result, require)
+        _require_bounds(spark.sql(f"EXPLAIN FORMATTED {query}", args=args).first()[0], require)
     return result if cap is None else result.limit(cap)
 
 
-def _require_pruning(result: DataFrame, columns: tuple[str, ...]) -> None:
-    """Refuse a plan with a file scan that is not pruned by every one of ``columns``."""
-    text = io.StringIO()
-    with redirect_stdout(text):
-        result.explain("formatted")
-    for step in text.getvalue().split("\n\n"):
-        if re.search(r"^\(\d+\) Scan ", step, re.MULTILINE):
+def _terms(filters: str) -> list[str]:
+    """The comma-separated terms of a printed filter list; commas inside parentheses do not separate."""
+    found, depth = [""], 0
+    for c in filters:
+        depth += (c == "(") - (c == ")")
+        if c == "," and depth == 0:
+            found.append("")
+        else:
+            found[-1] += c
+    return [t.strip() for t in found]
+
+
+def _bounded(terms: list[str], column: str) -> bool:
+    """Whether one of ``terms`` fixes the column, or two of them bound it from both sides."""
+    sides = set()
+    for term in terms:
+        told = re.match(rf"\(?{re.escape(column)}#\d+ (=|<=>|<=?|>=?|IN|INSET) (?!null\b)", term, re.IGNORECASE)
+        if told:
+            sides.add(told.group(1).upper())
+    return bool(sides & {"=", "<=>", "IN", "INSET"}) or {"<", ">"} <= {side[0] for side in sides}
+
+
+def _require_bounds(plan: str, columns: tuple[str, ...]) -> None:
+    """Refuse a plan with a scan of rows that is not bounded on every one of ``columns``."""
+    for step in plan.split("\n\n"):
+        if re.search(r"^\(\d+\) (?:Scan|BatchScan|InMemoryTableScan)\b(?! OneRowRelation)", step, re.MULTILINE):
             filters = re.search(r"PartitionFilters: \[(.*)\]", step)
-            used = set(re.findall(r"(\w+)#\d+", filters.group(1))) if filters else set()
-            if not used.issuperset(columns):
-                raise ValueError(f"the query must filter on {', '.join(columns)}")
+            terms = _terms(filters.group(1)) if filters else []
+            if not all(_bounded(terms, c) for c in columns):
+                raise ValueError(f"the query must bound {', '.join(columns)}")

@@ -28,12 +28,26 @@ from wickline.sources.raw import read_raw
 from wickline.sources.tables import read_metadata, read_table
 
 
+_HAS_KEY = "open_time IS NOT NULL AND symbol IS NOT NULL AND symbol != ''"
+
+
 def _of_batch(df: DataFrame, batch_date: date | str | None) -> DataFrame:
     if batch_date is None:
         return df
     return df.filter(F.col("ingestion_date") == F.lit(as_date(batch_date)))
 
 
+def _reached(
+    spark: SparkSession, silver: DataFrame, bronze: str | None, batch_date: date | str | None
+) -> DataFrame:
+    """The silver partitions that the bronze rows of a batch fall into; all without both arguments."""
+    if bronze is None or batch_date is None:
+        return silver
+    logged = _of_batch(read_table(spark, bronze, BRONZE), batch_date).filter(_HAS_KEY)
+    places = logged.select("symbol", utc_date("open_time").alias("date"))
+    return restrict(silver, places, TABLE_PARTITIONS, TABLE_PARTITIONS)
+
+
 def to_bronze(rows: DataFrame, batch_date: date | str | None = None) -> DataFrame:
     """Raw rows stamped with their batch date (default: today); rows without a symbol are dropped."""
     stamp = F.current_date() if batch_date is None else F.lit(as_date(batch_date))
@@ -48,11 +62,18 @@ def ingest(
     symbols: list[str] | None = None,
     resolution: str | None = None,
     date_pattern: str | None = None,
-) -> None:
-    """Append the raw CSV and ZIP files below ``raw`` to the bronze log."""
+) -> dict[str, int]:
+    """Append the raw CSV and ZIP files below ``raw`` to the bronze log.
+
+    Returns how much was left out, counted while the rows are written: ``damaged_archives``, and
+    ``rows_without_symbol``, which lie in no symbol folder.
+    """
     require_utc(spark)
-    rows = read_raw(spark, raw, symbols, resolution, date_pattern)
+    damaged, seen = Observation(), Observation()
+    rows = read_raw(spark, raw, symbols, resolution, date_pattern, damaged)
+    rows = rows.observe(seen, F.count_if(F.col("symbol") == "").alias("n"))
     append(to_bronze(rows, batch_date), bronze, BRONZE_PARTITIONS)
+    return {"damaged_archives": damaged.get["n"], "rows_without_symbol": seen.get["n"]}
 
 
 def refine(
@@ -67,17 +88,14 @@ def refine(
     Of rows with one key the newest ingestion wins, whatever the order in which batches arrive, so a
     batch may be run again or late.
 
-    Rows without a key cannot be merged. They are left out, and their number is returned; it is
-    counted while the batch is written, without a further pass.
+    Rows without a key cannot be merged. They are left out, and their number is returned, which takes a
+    scan of the two key columns of the batch.
     """
     require_utc(spark)
     batch = _of_batch(read_table(spark, bronze, BRONZE), batch_date)
-    has_key = "open_time IS NOT NULL AND symbol IS NOT NULL AND symbol != ''"
-    seen = Observation()
-    batch = batch.observe(seen, F.count_if(~F.coalesce(F.expr(has_key), F.lit(False))).alias("n"))
-    rows = to_silver(dedup(batch.filter(has_key)), read_metadata(spark, metadata))
+    rows = to_silver(dedup(batch.filter(_HAS_KEY)), read_metadata(spark, metadata))
     upsert(spark, rows, silver, SILVER_KEYS, SILVER, unique=True, resolve=dedup)
-    return seen.get["n"]
+    return batch.filter(~F.coalesce(F.expr(_HAS_KEY), F.lit(False))).count()
 
 
 def rebuilt_bars(silver: DataFrame, batch: DataFrame, window_us: int) -> DataFrame:
@@ -107,18 +125,20 @@ def aggregate(
     skip_validation: bool = False,
     skip_optimize: bool = False,
     fallback_seconds: int = FALLBACK_SECONDS,
+    bronze: str | None = None,
 ) -> int | None:
     """Bring gold up to date with a silver batch; returns the bar width, ``None`` for an empty batch.
 
+    Silver is not laid out by ``ingestion_date``. With ``bronze``, which is, the partitions that the batch
+    can have reached are read from there, and only those of silver are opened.
+
     The bar width follows the spacing of all silver rows in the partitions that the batch touches, unless
     ``window_seconds`` is given. Unless ``skip_optimize``, the rewritten partitions are ordered by
     ``timestamp`` in the same write.
     """
     require_utc(spark)
     table = read_table(spark, silver, SILVER)
-    rows = _of_batch(table, batch_date).filter(
-        "open_time IS NOT NULL AND symbol IS NOT NULL AND symbol != ''"
-    )
+    rows = _of_batch(_reached(spark, table, bronze, batch_date), batch_date).filter(_HAS_KEY)
     needed = ["symbol", "open_time", "open", "high", "low", "close", "volume"]
     with staged(rows.select(*needed), "batch") as batch:
         if batch.isEmpty():
@@ -160,5 +180,5 @@ def run_pipeline(
     day = yesterday() if batch_date is None else as_date(batch_date)
     ingest(spark, raw, bronze, day, **scope)
     refine(spark, bronze, silver, metadata, day)
-    aggregate(spark, silver, gold, day, window_seconds, skip_validation, skip_optimize)
+    aggregate(spark, silver, gold, day, window_seconds, skip_validation, skip_optimize, bronze=bronze)
     return day

@@ -1,5 +1,6 @@
 from wickline.sources.raw import read_kline_archives, read_klines, read_raw, unpack_archives
 from wickline.sources.tables import (
+    newest_date,
     read_metadata,
     read_table,
     register_views,
@@ -8,6 +9,7 @@ from wickline.sources.tables import (
 )
 
 __all__ = [
+    "newest_date",
     "read_kline_archives",
     "read_klines",
     "read_metadata",

@@ -1,23 +1,26 @@
-"""Raw kline files: ``.../raw/SYMBOL/RESOLUTION/SYMBOL-RESOLUTION-DATE.csv`` or ``.zip``.
+"""Raw kline files: ``SYMBOL/RESOLUTION/SYMBOL-RESOLUTION-DATE.csv`` or ``.zip`` below a root folder.
 
-Folders may also be written as ``symbol=SYMBOL/resolution=RESOLUTION``.
+Folders may also be written as ``symbol=SYMBOL/resolution=RESOLUTION``. The root may also be the folder
+that holds ``raw``.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.schemas import RAW
+from wickline.session import hadoop_path
 
 _BLOCK_CHARS = 1 << 20
-_SYMBOL = r"/raw/(?:symbol=)?([^/]+)/"
-_RESOLUTION = r"/raw/[^/]+/(?:resolution=)?([^/]+)/"
+_SYMBOL = "(?:symbol=)?([^/]+)/"
+_RESOLUTION = "[^/]+/(?:resolution=)?([^/]+)/"
 
 
 def _decoded(path: Column) -> Column:
@@ -25,15 +28,23 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _below(spark: SparkSession, root: str) -> str:
+    """A pattern of what precedes the symbol in the full path of a file below ``root``."""
+    folder, files = hadoop_path(spark, root)
+    full = files.makeQualified(folder).toUri().getPath().rstrip("/")
+    return f"^(?:[^:/]+:(?://[^/]*)?)?{re.escape(full)}/(?:raw/)?"
+
+
 def _in_scope(
-    df: DataFrame, symbols: list[str] | None, resolution: str | None
+    df: DataFrame, root: str, symbols: list[str] | None, resolution: str | None
 ) -> DataFrame:
     """Derive ``symbol`` from ``path`` and keep the wanted symbols and resolution."""
-    df = df.withColumn("symbol", F.regexp_extract("path", _SYMBOL, 1))
+    before = _below(df.sparkSession, root)
+    df = df.withColumn("symbol", F.regexp_extract("path", before + _SYMBOL, 1))
     if symbols is not None:
         df = df.filter(F.col("symbol").isin(symbols))
     if resolution is not None:
-        df = df.filter(F.regexp_extract("path", _RESOLUTION, 1) == resolution)
+        df = df.filter(F.regexp_extract("path", before + _RESOLUTION, 1) == resolution)
     return df
 
 
@@ -70,23 +81,28 @@ def read_klines(
         .csv(_folders(spark, root, symbols, resolution))
         .withColumn("path", _decoded(F.col("_metadata.file_path")))
     )
-    return _in_scope(rows, symbols, resolution).drop("path")
+    return _in_scope(rows, root, symbols, resolution).drop("path")
 
 
-def unpack_archives(archives: DataFrame) -> DataFrame:
+def unpack_archives(archives: DataFrame, damaged: Observation | None = None) -> DataFrame:
     """Candles inside ``archives`` (columns ``path, content, symbol``); damaged archives give no rows.
 
+    ``damaged`` observes their number as ``n`` when the rows are first computed. An archive is tested in
+    a first pass, so that none of its lines is handed on before all of it is known to be sound, and none
+    of its text need be held.
+
     A ZIP cannot be split, so one archive is one record: a task holds one archive at a time and hands
     its text to the JVM in blocks, where lines are split and parsed. An RDD step, because an Arrow
     batch would hold thousands of archives. The functions are local, so that workers need no copy of
     this package.
     """
 
-    def csv_blocks(archive: bytes) -> Iterator[str]:
-        """Text of all CSV members in blocks of whole lines; nothing if the archive is damaged."""
+    def csv_blocks(archive: bytes) -> Iterator[str | None]:
+        """Text of all CSV members in blocks of whole lines; one null if the archive is damaged."""
         try:
             with zipfile.ZipFile(io.BytesIO(archive)) as members:
                 if members.testzip() is not None:
+                    yield None
                     return
                 for name in members.namelist():
                     if name.lower().endswith(".csv"):
@@ -95,7 +111,7 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
                             while block := lines.readlines(_BLOCK_CHARS):
                                 yield "".join(block)
         except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
-            return
+            yield None
 
     def blocks(part):
         for row in part:
@@ -103,7 +119,10 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
                 yield row.symbol, block
 
     text = archives.select("symbol", "content").rdd.mapPartitions(blocks)
-    lines = text.toDF("symbol STRING, block STRING").select(
+    texts = text.toDF("symbol STRING, block STRING")
+    if damaged is not None:
+        texts = texts.observe(damaged, F.count_if(F.col("block").isNull()).alias("n"))
+    lines = texts.select(
         "symbol", F.explode(F.split("block", "\\r?\\n")).alias("line")
     )
     parsed = lines.filter("line != ''").select(F.from_csv("line", RAW.toDDL()).alias("k"), "symbol")
@@ -117,16 +136,25 @@ def _archives(
     resolution: str | None,
     date_pattern: str | None,
     suffix: str = ".zip",
+    only: list[str] | None = None,
 ) -> DataFrame:
-    """Files ending in ``suffix`` with ``symbol`` and the path ``stem``; content is read on demand."""
+    """Files ending in ``suffix`` with ``symbol`` and the path ``stem``; content is read on demand.
+
+    ``only`` names the files to take instead of all below ``root``.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", _file_glob(date_pattern, suffix))
-        .load(_folders(spark, root, symbols, resolution))
+        .load(_folders(spark, root, symbols, resolution) if only is None else only)
     )
     stem = F.regexp_replace("path", r"\.[^./]+$", "")
-    return _in_scope(files, symbols, resolution).withColumn("stem", stem)
+    return _in_scope(files, root, symbols, resolution).withColumn("stem", stem)
+
+
+def _literal(path: str) -> str:
+    """``path`` with the characters escaped that a scan would take as a glob."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def read_kline_archives(
@@ -135,9 +163,10 @@ def read_kline_archives(
     symbols: list[str] | None = None,
     resolution: str | None = None,
     date_pattern: str | None = None,
+    damaged: Observation | None = None,
 ) -> DataFrame:
     """All candles inside the ZIP archives below ``root``, as :func:`read_klines` gives them."""
-    return unpack_archives(_archives(spark, root, symbols, resolution, date_pattern))
+    return unpack_archives(_archives(spark, root, symbols, resolution, date_pattern), damaged)
 
 
 def read_raw(
@@ -146,9 +175,20 @@ def read_raw(
     symbols: list[str] | None = None,
     resolution: str | None = None,
     date_pattern: str | None = None,
+    damaged: Observation | None = None,
 ) -> DataFrame:
-    """CSV files and ZIP archives together; an archive that lies extracted beside itself counts once."""
+    """CSV files and ZIP archives together; an archive that lies extracted beside itself counts once.
+
+    Which archives those are is settled on paths alone, before any is opened, so that contents pass through
+    no shuffle. The paths left come to the driver, which lists them for the scan in any case.
+    """
     scope = (spark, root, symbols, resolution, date_pattern)
     extracted = _archives(*scope, suffix=".csv").select("stem")
-    packed = _archives(*scope).join(extracted, "stem", "left_anti")
-    return read_klines(*scope).unionByName(unpack_archives(packed))
+    packed = _archives(*scope).select("stem", "path").join(extracted, "stem", "left_anti")
+    only = [_literal(row.path) for row in packed.select("path").collect()]
+    rows = read_klines(*scope)
+    if not only:
+        # An observation needs a plan to run in, so that it also says "none".
+        none = F.count_if(F.lit(False)).alias("n")
+        return rows if damaged is None else rows.observe(damaged, none)
+    return rows.unionByName(unpack_archives(_archives(*scope, only=only), damaged))

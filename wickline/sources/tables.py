@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wickline.schemas import GOLD, METADATA, SILVER
@@ -19,6 +22,18 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def newest_date(spark: SparkSession, path: str) -> date | None:
+    """The newest ``date`` of a layer table, from the names of its folders; no data file is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+    )
+    day = F.to_date(F.regexp_extract("path", "/date=([0-9-]{10})/", 1))
+    return files.agg(F.max(day)).first()[0]
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """The coin dimension: a CSV with the header ``symbol,name``."""
     return spark.read.schema(METADATA).csv(path, header=True)
