@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from wickline.schemas import (
     BRONZE_PARTITIONS,
     GOLD,
     GOLD_KEYS,
+    RAW,
     SILVER,
     SILVER_KEYS,
 )
@@ -204,14 +205,21 @@ _CHANGE_24H = _CHANGE.format(bars=_LAST_24H)
 _TRADE_GOLD = I.bars_sql(I.deduped_sql(I.TRADES), DAY)
 
 
+def _stored_gold(spark: SparkSession, sf: str) -> tuple[DataFrame, date | None]:
+    """Gold as a table, which prunes by its folders, and its newest date."""
+    path = scratch_path(spark, "market")
+    op.replace_partitions(I.gold(spark, sf), path, GOLD)
+    return sources.read_table(spark, path, GOLD), sources.newest_date(spark, path)
+
+
 @checked(f"SELECT {_BAR} FROM ({_LAST_24H})")
 def last_24h(spark, sf):
-    return _plain(op.last_24h(I.gold(spark, sf)))
+    return _plain(op.last_24h(*_stored_gold(spark, sf)))
 
 
 @checked(_CHANGE_24H)
 def pct_change_24h(spark, sf):
-    return op.pct_change_24h(I.gold(spark, sf))
+    return op.pct_change_24h(*_stored_gold(spark, sf))
 
 
 @checked(
@@ -229,7 +237,8 @@ def trade_pct_change_24h(spark, sf):
     "ORDER BY pct_change DESC, symbol LIMIT 2"
 )
 def top_gainers(spark, sf):
-    return op.top_movers(I.gold(spark, sf), 2)
+    bars, newest = _stored_gold(spark, sf)
+    return op.top_movers(bars, 2, newest=newest)
 
 
 @checked(
@@ -237,12 +246,13 @@ def top_gainers(spark, sf):
     "ORDER BY pct_change, symbol LIMIT 2"
 )
 def top_losers(spark, sf):
-    return op.top_movers(I.gold(spark, sf), 2, losers=True)
+    bars, newest = _stored_gold(spark, sf)
+    return op.top_movers(bars, 2, losers=True, newest=newest)
 
 
 @checked(f"SELECT coalesce(sum(volume), 0) AS volume_24h FROM ({_LAST_24H})")
 def volume_24h(spark, sf):
-    return op.volume_24h(I.gold(spark, sf))
+    return op.volume_24h(*_stored_gold(spark, sf))
 
 
 _FRESHNESS = f"greatest(0, ({AS_OF_US} - max(timestamp)) / 60000000)"
@@ -250,7 +260,8 @@ _FRESHNESS = f"greatest(0, ({AS_OF_US} - max(timestamp)) / 60000000)"
 
 @checked(f"SELECT {_FRESHNESS} AS freshness_minutes FROM ({I.GOLD})")
 def freshness(spark, sf):
-    return op.freshness(I.gold(spark, sf), AS_OF)
+    bars, newest = _stored_gold(spark, sf)
+    return op.freshness(bars, AS_OF, newest)
 
 
 @checked(
@@ -265,7 +276,8 @@ SELECT g.symbol AS top_gainer, g.pct_change AS top_gainer_pct,
 FROM g, l"""
 )
 def market_overview(spark, sf):
-    return op.market_overview(I.gold(spark, sf), AS_OF)
+    bars, newest = _stored_gold(spark, sf)
+    return op.market_overview(bars, AS_OF, newest)
 
 
 # Selections
@@ -705,3 +717,146 @@ def medallion_two_batches(spark, sf):
     plans.refine(spark, bronze, silver, metadata, "2024-02-01")
     plans.aggregate(spark, silver, gold, "2024-02-01", window_seconds=300)
     return _plain(sources.read_table(spark, gold, GOLD))
+
+
+_LATE = f"SELECT * REPLACE (close + 1 AS close, DATE '2024-03-01' AS ingestion_date) FROM ({I.KLINES}) WHERE num_trades > 5"
+_EVERY = f"SELECT * FROM ({I.KLINES}) UNION ALL SELECT * FROM ({_LATE})"
+
+
+@checked(
+    "SELECT * REPLACE (cast(ingestion_date AS varchar) AS ingestion_date, cast(date AS varchar) AS date) "
+    f"FROM ({I.silver_sql(_EVERY)})"
+)
+def silver_out_of_order(spark, sf):
+    """The newest batch arrives first; what was ingested before it must not undo it."""
+    home = scratch_path(spark, "out-of-order")
+    old = I.klines(spark, sf)
+    new = old.filter("num_trades > 5").withColumn("close", F.col("close") + 1)
+    new = new.withColumn("ingestion_date", F.lit(date(2024, 3, 1)))
+    bronze, silver, metadata = (f"{home}/{layer}" for layer in ("bronze", "silver", "metadata"))
+    I.dimension(spark).write.option("header", True).csv(metadata)
+    op.append(new, bronze, BRONZE_PARTITIONS)
+    plans.refine(spark, bronze, silver, metadata, "2024-03-01")
+    op.append(old, bronze, BRONZE_PARTITIONS)
+    plans.refine(spark, bronze, silver, metadata)
+    plans.refine(spark, bronze, silver, metadata, "2024-01-10")
+    return _plain(sources.read_table(spark, silver, SILVER).drop("ingestion_ts"))
+
+
+@checked(
+    "SELECT symbol, cast(date AS varchar) AS date, open_time, close, coin_name FROM "
+    f"({I.silver_sql(I.KLINES)})"
+)
+def silver_from_csv_meta(spark, sf):
+    """Names read from a CSV dimension."""
+    home = scratch_path(spark, "meta")
+    I.dimension(spark).write.option("header", True).csv(home)
+    rows = op.to_silver(op.dedup(I.klines(spark, sf)), sources.read_metadata(spark, home))
+    return _plain(rows.select("symbol", "date", "open_time", "close", "coin_name"))
+
+
+@checked(f"SELECT * FROM ({_RAW_ROWS}) WHERE symbol IN ('CLICK', 'VIEW')")
+def csv_scope_symbols(spark, sf):
+    """Two symbols and the files of a name pattern; the others hold the same rows and must not count."""
+    home = scratch_path(spark, "scope-symbols")
+    raw = I.write_raw_tree(I.klines(spark, sf), home)
+    rows = sources.read_klines(spark, raw, symbols=["CLICK", "VIEW"], date_pattern="part-")
+    none = sources.read_klines(spark, raw, symbols=["CLICK", "VIEW"], date_pattern="2031-01-01")
+    return _plain(to_bronze(rows.unionByName(none), "2024-02-01"))
+
+
+@checked(
+    f"SELECT count(*) AS kept, count(*) AS stray, (SELECT count(*) FROM ({I.KLINES}) WHERE num_trades = 3) AS without_key, "
+    f"(SELECT count(*) FROM ({I.deduped_sql(f'SELECT * FROM ({I.KLINES}) WHERE num_trades <> 3')})) AS in_silver "
+    f"FROM ({I.KLINES})"
+)
+def bronze_dirty(spark, sf):
+    """Files outside a symbol folder and rows without a time; what is left out is reported."""
+    home = scratch_path(spark, "dirty")
+    rows = I.klines(spark, sf)
+    no_time = F.when(F.col("num_trades") != 3, F.col("open_time"))
+    raw = I.write_raw_tree(rows.withColumn("open_time", no_time), home)
+    rows.select(*RAW.names).write.mode("append").csv(raw)
+    bronze, silver, metadata = (f"{home}/{layer}" for layer in ("bronze", "silver", "metadata"))
+    I.dimension(spark).write.option("header", True).csv(metadata)
+    left_out = plans.ingest(spark, raw, bronze, "2024-02-01")
+    without_key = plans.refine(spark, bronze, silver, metadata, "2024-02-01")
+    in_silver = sources.read_table(spark, silver, SILVER).agg(F.count("*")).scalar()
+    return sources.read_table(spark, bronze, BRONZE).agg(F.count("*").alias("kept")).select(
+        "kept",
+        F.lit(left_out["rows_without_symbol"]).cast("bigint").alias("stray"),
+        F.lit(without_key).cast("bigint").alias("without_key"),
+        in_silver.alias("in_silver"),
+    )
+
+
+def _silver_table(spark: SparkSession, rows: DataFrame, home: str) -> str:
+    """Deduplicated ``rows`` as a silver table below ``home``."""
+    path = f"{home}/silver"
+    op.upsert(spark, op.to_silver(op.dedup(rows), I.dimension(spark)), path, SILVER_KEYS, SILVER, unique=True)
+    return path
+
+
+@checked(f"SELECT {_BAR} FROM ({_HOURLY})")
+def gold_empty_batch(spark, sf):
+    """A batch without rows leaves gold as it was."""
+    home = scratch_path(spark, "empty-batch")
+    gold = f"{home}/gold"
+    silver = _silver_table(spark, I.sound_klines(spark, sf), home)
+    op.replace_partitions(I.gold(spark, sf, HOUR), gold, GOLD)
+    if plans.aggregate(spark, silver, gold, "2031-01-01") is not None:
+        raise AssertionError("the batch should be empty")
+    return _plain(sources.read_table(spark, gold, GOLD))
+
+
+@checked(f"SELECT {_BAR} FROM ({_HOURLY})")
+def gold_skip_validation(spark, sf):
+    """Negative prices stop the job unless the gate is skipped."""
+    home = scratch_path(spark, "skip-validation")
+    gold = f"{home}/gold"
+    silver = _silver_table(spark, I.klines(spark, sf), home)
+    plans.aggregate(spark, silver, gold, window_seconds=3600, skip_validation=True)
+    return _plain(sources.read_table(spark, gold, GOLD))
+
+
+@checked(_INTERVAL.format(gaps=_GAPS.format(rows=f"SELECT timestamp AS open_time, symbol FROM ({I.GOLD})")))
+def gold_interval(spark, sf):
+    """The spacing of gold bars."""
+    return op.source_interval(I.gold(spark, sf), time="timestamp")
+
+
+@checked(_all_bars(HOUR))
+def cluster_dates(spark, sf):
+    """Only the dates from 2024-01-15 on are rewritten; no row may change anywhere."""
+    path = scratch_path(spark, "cluster-dates")
+    op.replace_partitions(I.gold(spark, sf, HOUR), path, GOLD)
+    bars = sources.read_table(spark, path, GOLD)
+    op.cluster(spark, path, GOLD, dates=bars.filter("date >= '2024-01-15'").select("date").distinct())
+    return _plain(sources.read_table(spark, path, GOLD))
+
+
+_BOUND = """
+SELECT symbol, timestamp, high FROM gold_ohlcv
+WHERE symbol IN ('CLICK', 'VIEW') AND date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'"""
+
+
+@checked(_views(_BOUND))
+def sql_required(spark, sf):
+    """A question to the stored table that must be bounded on both partition columns."""
+    path = scratch_path(spark, "required")
+    op.replace_partitions(I.gold(spark, sf), path, GOLD)
+    sources.register_views(spark, gold=path)
+    return plans.ask_sql(spark, _BOUND, require=("symbol", "date"))
+
+
+@checked(_RAW_ROWS)
+def zip_tree_ingest(spark, sf):
+    """A tree of CSV files of some symbols and ZIP files of others to bronze."""
+    home = scratch_path(spark, "zip-tree")
+    rows = I.klines(spark, sf)
+    zipped = rows.filter("symbol IN ('CLICK', 'ERROR')")
+    raw = I.write_raw_tree(rows.filter("symbol NOT IN ('CLICK', 'ERROR')"), home)
+    I.write_zip_tree(zipped, raw)
+    bronze = f"{home}/bronze"
+    plans.ingest(spark, raw, bronze, "2024-02-01")
+    return _plain(sources.read_table(spark, bronze, BRONZE))

@@ -30,7 +30,7 @@ from wickline.operators.selection import (
     volume_at_least,
     volume_bounds,
 )
-from wickline.operators.tables import append, cluster, export_csv, upsert
+from wickline.operators.tables import append, cluster, export_csv, replace_partitions, upsert
 
 __all__ = [
     "CHART_ROWS",
@@ -57,6 +57,7 @@ __all__ = [
     "pct_change_24h",
     "quality_counts",
     "range_summary",
+    "replace_partitions",
     "resample",
     "run_suite",
     "source_interval",
