@@ -182,6 +182,9 @@ def test_suite_is_data_not_code(candles):
     suite["expectations"].append({"expectation_type": "expect_magic", "kwargs": {"column": "open"}})
     with pytest.raises(ValueError, match="expect_magic"):
         run_suite(rows, suite)
+    extra = {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "volume", "mostly": 0.9}}
+    with pytest.raises(ValueError, match="mostly"):
+        run_suite(rows, {"expectations": [extra]})
 
 
 # Labels and dates

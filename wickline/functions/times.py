@@ -32,7 +32,8 @@ def bucket_start(micros: Column | str, width: int | Column) -> Column:
 
 def utc_date(micros: Column | str) -> Column:
     """UTC calendar date of an epoch-microsecond column."""
-    return F.date_from_unix_date(F.round(bucket_start(micros, DAY_US) / DAY_US).cast("int"))
+    days = F.call_function("div", bucket_start(micros, DAY_US), F.lit(DAY_US))
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def week_label(micros: Column | str) -> Column:

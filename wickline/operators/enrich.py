@@ -13,7 +13,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _dimension(meta: DataFrame) -> DataFrame:
-    """The dimension ready to join: unique by symbol, broadcast only if it is measured small."""
+    """The dimension ready to join: unique by symbol, broadcast only if it is measured small.
+
+    The measuring is a Spark job over the dimension that runs while the plan is built.
+    """
     size = F.octet_length("symbol") + F.coalesce(F.octet_length("name"), F.lit(0))
     named = meta.filter("symbol IS NOT NULL")
     facts = (

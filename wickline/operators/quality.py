@@ -57,19 +57,25 @@ def validate(df: DataFrame) -> bool:
     return True
 
 
+_ARGUMENTS = {_NOT_NULL: {"column"}, _BETWEEN: {"column", "min_value", "max_value"}}
+
+
 def _violates(kind: str, kwargs: dict) -> Column:
+    if kind not in _ARGUMENTS:
+        raise ValueError(f"unknown expectation {kind!r}")
+    unknown = set(kwargs) - _ARGUMENTS[kind]
+    if unknown:
+        raise ValueError(f"{kind} has no argument {', '.join(sorted(unknown))}")
     c = F.col(kwargs["column"])
     if kind == _NOT_NULL:
         return c.isNull()
-    if kind == _BETWEEN:
-        low, high = kwargs.get("min_value"), kwargs.get("max_value")
-        outside = F.lit(False)
-        if low is not None:
-            outside = outside | (c < low)
-        if high is not None:
-            outside = outside | (c > high)
-        return outside
-    raise ValueError(f"unknown expectation {kind!r}")
+    low, high = kwargs.get("min_value"), kwargs.get("max_value")
+    outside = F.lit(False)
+    if low is not None:
+        outside = outside | (c < low)
+    if high is not None:
+        outside = outside | (c > high)
+    return outside
 
 
 def run_suite(df: DataFrame, suite: dict = SILVER_SUITE) -> DataFrame:
