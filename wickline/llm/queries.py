@@ -87,8 +87,7 @@ def op5_quality(spark, sf_dir) -> DataFrame:
         *[f"{name}.{m}" for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         F.col(f"{name}.failed_base").alias("base_failed"),
         F.col(f"{name}.failed").isNull().alias("kept"),
-        F.col(f"{name}.failed").alias("failed_rule"),
-    ).drop("failed_rule")
+    )
 
 
 @_query
