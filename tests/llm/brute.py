@@ -171,3 +171,36 @@ def repeats(docs, n=50):
         starts = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
         out.append((i, len(b), int(gone.sum()), starts, sha256(kept)))
     return out
+
+
+def similar(p, q):
+    """Whether two passages of 50 words are near-duplicates: Jaccard 0.8 or more over five-word shingles."""
+    a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (p, q))
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def passages(docs, n=50):
+    """doc_id -> (words in a passage with a near-duplicate in a smaller document, smallest id of the class)."""
+    words = {i: SPACE_WORD.findall((t or "").translate(AZ)) for i, t in docs}
+    root = {i: i for i in words}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    out = {i: set() for i in words}
+    for late in words:
+        for early in (i for i in words if i < late):
+            at = defaultdict(list)
+            for k in range(len(words[early]) - 4):
+                at[tuple(words[early][k : k + 5])].append(k)
+            shared = [at[tuple(words[late][k : k + 5])] for k in range(len(words[late]) - 4)]
+            for f in range(len(words[late]) - n + 1):
+                if sum(map(bool, shared[f : f + n - 4])) < 9:
+                    continue
+                starts = {g for js in shared[f : f + n - 4] for j in js for g in range(j - n + 5, j + 1)}
+                p = words[late][f : f + n]
+                if any(0 <= g <= len(words[early]) - n and similar(p, words[early][g : g + n]) for g in sorted(starts)):
+                    out[late].update(range(f, f + n))
+                    a, b = sorted((find(late), find(early)))
+                    root[b] = a
+    return {i: (out[i], find(i)) for i in words}

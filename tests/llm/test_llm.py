@@ -293,6 +293,84 @@ def test_passages_are_found(spark):
     assert found[50].class_id == 50 and found[50].passages == [] and found[51].n_words == 0
 
 
+def _random_words(rng, n):
+    return [f"v{x}" for x in rng.integers(0, 10**6, n)]
+
+
+def _around_centre(rng, passages, before):
+    """Matrix rows that hold passages of shingles, each in its own surroundings, ``before`` places before the centre."""
+    rows = rng.integers(1, 1 << 32, (len(passages), 91)).astype(np.uint32)
+    for row, passage in zip(rows, passages, strict=True):
+        row[45 - before : 45 - before + len(passage)] = passage
+    return rows
+
+
+def test_no_pair_of_a_key_is_left_out():
+    """Rows of one key whose shingles 8 places from the centre differ on both sides: J = 41 / 51."""
+    rng = np.random.default_rng(11)
+    shared = rng.integers(1, 1 << 32, 46).astype(np.uint32)
+    edited = np.tile(shared, (30, 1))
+    edited[1:, 13:18] = rng.integers(1, 1 << 32, (29, 5))
+    noise = rng.integers(1, 1 << 32, (40, 46)).astype(np.uint32)
+    noise[:, 7] = shared[7]
+    rows = _around_centre(rng, [*edited, *noise], before=7)
+    content = [r.tobytes() for r in rows]
+    for sides in (1, 3):
+        block = np.arange(70) % sides
+        pairs = [(lo, hi) for lo in range(sides) for hi in range(lo, sides)]
+        frames = []
+        for lo, hi in pairs:
+            own = np.flatnonzero((block == lo) | (block == hi))
+            frames.append(
+                compact_windows.pd.DataFrame(
+                    {"key": 5, "rank": own, "content": [content[k] for k in own], "at": 45, "chunk": 0, "ref": own, "block": block[own], "lo": lo, "hi": hi}
+                )
+            )
+        found = compact_windows.pd.concat(compact_windows._solve(iter(frames)))
+        # Edited rows differ from the first and from each other in the same five places.
+        assert {(r.ref, r.starts) for r in found.itertuples()} == {(k, 1 << 38) for k in range(1, 30)}
+        assert {(k, 0) for k in range(1, 30)} <= {(r.ref, r.other) for r in found.itertuples()}
+
+
+def test_starts_equal_definition():
+    rng = np.random.default_rng(12)
+    checked = 0
+    for repeats in (False, True):
+        for _ in range(60):
+            base = rng.integers(1, 30 if repeats else 1 << 32, 91).astype(np.uint32)
+            x, y = base.copy(), base.copy()
+            lo, hi = int(rng.integers(0, 20)), int(rng.integers(60, 92))
+            y[:lo], y[hi:] = rng.integers(1, 1 << 32, lo), rng.integers(1, 1 << 32, 91 - hi)
+            if rng.random() < 0.5:
+                at = int(rng.integers(0, 45))
+                y[:at] = y[1 : at + 1]
+            if rng.random() < 0.3:
+                x[: int(rng.integers(0, 20))] = 0
+            odd = [compact_windows._repeats(r[None]) for r in (x, y)]
+            got = compact_windows.verify(x[None], y[None], *odd)
+            sets = [[set(r[f : f + 46].tolist()) for f in range(46)] for r in (x, y)]
+            like = np.array([[0 not in p | q and 5 * len(p & q) >= 4 * len(p | q) for q in sets[1]] for p in sets[0]])
+            for bits, want in zip(got, (like.any(axis=1), like.any(axis=0)), strict=True):
+                assert int(bits[0]) == sum(1 << int(f) for f in np.flatnonzero(want))
+            checked += like.any()
+    assert checked > 40
+
+
+def test_passages_in_blocks_equal_those_in_one(spark):
+    rng = np.random.default_rng(13)
+    shared, rows = _random_words(rng, 60), []
+    for i in range(40):
+        own = shared.copy()
+        own[int(rng.integers(60))] = f"changed{i}"
+        rows.append((i, " ".join(_random_words(rng, 30) + own + _random_words(rng, 30))))
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    one, many = (
+        sorted((r.doc_id, tuple(r.passages), r.n_links, r.class_id) for r in compact_windows.near_duplicate_passages(frame, block_rows=n).collect())
+        for n in (2000, 4)
+    )
+    assert one == many and sum(r[2] > 0 for r in one) > 30
+
+
 def test_compact_windows_equal_definition():
     rng = np.random.default_rng(6)
     values = rng.integers(0, 1 << 62, 300).astype(np.uint64)

@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wickline.llm.common import stage
 from wickline.llm.components import components
 from wickline.llm.packing import mixed
-from wickline.llm.shared_keys import HOT, LAST, OPEN, TWIN, Found, chunked, judge, texts_of
+from wickline.llm.shared_keys import LAST, OPEN, TWIN, Found, chunked, judge, texts_of
 from wickline.llm.suffix_dedup import Hashes
 
 #: Words of a shingle, shingles of a passage (50 words), similarity from which passages are near-duplicates.
 SHINGLE, PASSAGE, SIMILARITY = 5, 46, 0.8
-#: Hash functions whose windows are joined; hash functions of a passage's signature, and how many of
-#: those must agree before the passage is verified.
-HASHES, SIGNATURE, AGREEING = 3, 8, 4
+#: Shingles that two passages without repeats must have in common.
+NEEDED = int(np.ceil(2 * PASSAGE * SIMILARITY / (1 + SIMILARITY)))
+#: Hash functions whose windows are joined.
+HASHES = 3
 CHUNK_BYTES, PART_KEYS = 4 << 20, 1_500_000
-#: Rows of a key that are all compared with each other; above it see ``_pairs``.
-ALL_PAIRS = 12
+#: Contexts of a key that one comparison block holds; rows up to which all pairs are verified together.
+BLOCK, FEW = 2000, 32
 _BUFFER, _TEXT_BUFFER = 1 << 16, 1 << 17
 _POSITION = np.uint64((1 << 20) - 1)
 _REACH = PASSAGE - 1
@@ -161,41 +164,10 @@ def _around(content: list[bytes], at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Upper bound on the shingles that two rows have in common: equal neighbours once both are sorted."""
-    out = np.empty(len(a), dtype=np.int64)
-    for at in range(0, len(a), 1024):
-        both = np.concatenate([a[at : at + 1024], b[at : at + 1024]], axis=1)
-        both.sort(axis=1)
-        out[at : at + 1024] = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != 0)).sum(axis=1)
-    return out
-
-
-def _signature(rows: np.ndarray) -> np.ndarray:
-    return np.stack([mixed(rows.astype(np.uint64), 2000 + j).min(axis=1) for j in range(SIGNATURE)], axis=1)
-
-
-def verify(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For rows of two matrices: the first column of the most similar aligned passage, or -1.
-
-    Of all passages of PASSAGE shingles around the shared centre the one with most common shingles is
-    taken. Enough hash functions must agree on it; then its exact Jaccard similarity decides.
-    """
-    needed = int(np.ceil(2 * PASSAGE * SIMILARITY / (1 + SIMILARITY)))
-    some = np.flatnonzero(_common(a, b) >= needed)
-    best = np.full(len(a), -1, dtype=np.int64)
-    best[some] = _best_aligned(a[some], b[some], needed)
-    shifted = some[best[some] < 0]
-    for at in range(0, len(shifted), 256):
-        block = shifted[at : at + 256]
-        best[block] = _best_shifted(a[block], b[block], needed)
-    rows = np.flatnonzero(best >= 0)
-    window = best[rows][:, None] + np.arange(PASSAGE)
-    p, q = a[rows[:, None], window], b[rows[:, None], window]
-    good = (_signature(p) == _signature(q)).sum(axis=1) >= AGREEING
-    good &= _similar(p, q)
-    best[rows[~good]] = -1
-    return best
+def _repeats(rows: np.ndarray) -> np.ndarray:
+    """Which rows hold a shingle more than once."""
+    by_value = np.sort(rows, axis=1)
+    return ((by_value[:, 1:] == by_value[:, :-1]) & (by_value[:, 1:] != 0)).any(axis=1)
 
 
 def _whole(x: np.ndarray) -> np.ndarray:
@@ -205,88 +177,187 @@ def _whole(x: np.ndarray) -> np.ndarray:
     return missing[:, PASSAGE : PASSAGE + _REACH + 1] == missing[:, : _REACH + 1]
 
 
-def _choose(common: np.ndarray, x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
-    common = np.where(_whole(x) & _whole(y), common, -1)
-    best = common.argmax(axis=1)
-    return np.where(common[np.arange(len(x)), best] >= needed, best, -1)
-
-
-def _best_aligned(x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
-    """First column of the passage with most shingles equal in place."""
-    total = np.zeros((len(x), x.shape[1] + 1), dtype=np.int16)
-    np.cumsum((x == y) & (x != 0), axis=1, dtype=np.int16, out=total[:, 1:])
-    return _choose(total[:, PASSAGE : PASSAGE + _REACH + 1] - total[:, : _REACH + 1], x, y, needed)
-
+def _bits(starts: np.ndarray) -> np.ndarray:
+    """First columns as bits of an integer."""
+    return (starts.astype(np.uint64) << np.arange(PASSAGE, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
-def _best_shifted(x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
-    """The same where words were inserted or left out: shingles common to both passages in any place."""
-    first = np.arange(_REACH + 1)
-    last = first + PASSAGE
-    same = (x[:, :, None] == y[:, None, :]) & (x[:, :, None] != 0)
-    total = np.zeros((len(x), x.shape[1] + 1, x.shape[1] + 1), dtype=np.int16)
-    np.cumsum(same.cumsum(axis=1, dtype=np.uint8), axis=2, dtype=np.int16, out=total[:, 1:, 1:])
-    common = total[:, last, last] - total[:, first, last] - total[:, last, first] + total[:, first, first]
-    return _choose(common, x, y, needed)
 
+def verify(a: np.ndarray, b: np.ndarray, odd_a: np.ndarray, odd_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of two matrices, as bits: all first columns of passages with a near-duplicate in the other row.
 
-def _similar(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Whether the exact Jaccard similarity of each pair of rows is SIMILARITY or more."""
-    common = _common(p, q)
-    good = common >= SIMILARITY * (2 * PASSAGE - common)
-    repeats = [(np.diff(np.sort(x, axis=1), axis=1) == 0).any(axis=1) for x in (p, q)]
-    for i in np.flatnonzero(repeats[0] | repeats[1]):
-        left, right = set(p[i].tolist()), set(q[i].tolist())
-        good[i] = len(left & right) >= SIMILARITY * len(left | right)
-    return good
-
-
-def _pairs(rank: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of a key's rows to compare.
-
-    All of them up to ALL_PAIRS rows. Beyond, each row with the one of the smallest document and with its
-    neighbours in the orders of what follows and of what precedes the centre: rows of equal passages
-    stand together in one of them, so that chains of pairs join every class.
+    Every passage around the centre of one row is compared with every one of the other by its exact
+    Jaccard similarity. ``odd_a`` and ``odd_b`` say which rows hold a shingle more than once.
     """
-    n = len(rank)
-    if n <= ALL_PAIRS:
-        return [(i, j) for i in range(n) for j in range(i + 1, n)]
-    least = int(rank.argmin())
-    out = {(min(i, least), max(i, least)) for i in range(n) if i != least}
-    for columns in (rows[:, _REACH:], rows[:, _REACH::-1]):
-        order = np.lexsort(columns[:, :24].T[::-1])
-        out |= {(min(i, j), max(i, j)) for i, j in zip(order[1:].tolist(), order[:-1].tolist(), strict=True)}
-    return sorted(out)
+    out = np.zeros(len(a), dtype=np.uint64), np.zeros(len(a), dtype=np.uint64)
+    odd = odd_a | odd_b
+    plain = np.flatnonzero(~odd)
+    for at in range(0, len(plain), 512):
+        block = plain[at : at + 512]
+        for to, bits in zip(out, _plain(a[block], b[block]), strict=True):
+            to[block] = bits
+    for k in np.flatnonzero(odd):
+        out[0][k], out[1][k] = _sets(a[k], b[k])
+    return out
 
 
-_OPEN_ROWS = "key BIGINT, salt BIGINT, rank BIGINT, content BINARY, at BIGINT, chunk BIGINT, ref BIGINT"
-_LINKS = "chunk BIGINT, ref BIGINT, other BIGINT, start BIGINT"
+def _plain(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``verify`` for rows without repeats: shingles common to both rows are counted for all pairs of passages."""
+    n, width, columns = len(x), x.shape[1], np.arange(x.shape[1], dtype=np.uint64)
+    tagged = np.concatenate([x, y], axis=1).astype(np.uint64) << np.uint64(8)
+    tagged[:, :width] |= columns
+    tagged[:, width:] |= columns | np.uint64(128)
+    tagged.sort(axis=1)
+    value = tagged >> np.uint64(8)
+    equal = (value[:, 1:] == value[:, :-1]) & (value[:, 1:] != 0)
+    bits = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+    some = np.flatnonzero(equal.sum(axis=1) >= NEEDED)
+    if not len(some):
+        return bits
+    row, at = np.nonzero(equal[some])
+    i = (tagged[some[row], at] & np.uint64(127)).astype(np.int64)
+    j = (tagged[some[row], at + 1] & np.uint64(127)).astype(np.int64)
+    # A shingle at (i, j) is in the passages that start in a rectangle.
+    side = PASSAGE + 1
+    edge = np.zeros(len(some) * side * side, dtype=np.int64)
+    for f, sign in ((np.maximum(i - _REACH, 0), 1), (np.minimum(i, _REACH) + 1, -1)):
+        for g, other in ((np.maximum(j - _REACH, 0), 1), (np.minimum(j, _REACH) + 1, -1)):
+            edge += sign * other * np.bincount((row * side + f) * side + g, minlength=len(edge))
+    common = edge.reshape(-1, side, side).astype(np.int8).cumsum(axis=1, dtype=np.int8).cumsum(axis=2, dtype=np.int8)
+    good = (common[:, :-1, :-1] >= NEEDED) & _whole(x[some])[:, :, None] & _whole(y[some])[:, None, :]
+    bits[0][some], bits[1][some] = _bits(good.any(axis=2)), _bits(good.any(axis=1))
+    return bits
+
+
+def _sets(x: np.ndarray, y: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """``verify`` for one pair of any rows."""
+    values, where = np.unique(np.concatenate([x, y]), return_inverse=True)
+    held = []
+    for own in (where[: len(x)], where[len(x) :]):
+        column = np.arange(len(own))
+        edge = np.zeros((len(values), PASSAGE + 1), dtype=np.int32)
+        np.add.at(edge, (own, np.maximum(column - _REACH, 0)), 1)
+        np.add.at(edge, (own, np.minimum(column, _REACH) + 1), -1)
+        held.append((edge.cumsum(axis=1)[values != 0, :-1] > 0).astype(np.float32))
+    common = held[0].T @ held[1]
+    total = held[0].sum(axis=0)[:, None] + held[1].sum(axis=0)[None, :]
+    good = (common * (1 + SIMILARITY) >= SIMILARITY * total - 1e-3) & _whole(x[None])[0][:, None] & _whole(y[None])[0][None, :]
+    return _bits(good.any(axis=1)[None])[0], _bits(good.any(axis=0)[None])[0]
+
+
+def _possible(rows: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As bits: starts that may have a near-duplicate in another row without repeats, and in any; kinds of rows.
+
+    So many of a passage's shingles as a near-duplicate shares must occur in some other row. Rows
+    with repeats are not judged. Rows of one kind differ only in shingles that no other row has, so
+    that they are alike to every other row.
+    """
+    value, where, n = np.unique(rows, return_inverse=True, return_counts=True)
+    where = where.reshape(rows.shape)
+    several = ((n > 1) & (value != 0))[where]
+    shared = np.zeros((len(rows), rows.shape[1] + 1), dtype=np.int16)
+    np.cumsum(several, axis=1, out=shared[:, 1:])
+    shared = shared[:, PASSAGE : PASSAGE + _REACH + 1] - shared[:, : _REACH + 1]
+    whole = _whole(rows)
+    plain, any_row = (_bits(whole & ((shared >= least) | odd[:, None])) for least in (NEEDED, SIMILARITY * PASSAGE))
+    content = np.where(several, where + 2, rows != 0)
+    kinds: dict[bytes, int] = {}
+    return plain, any_row, np.array([kinds.setdefault(c.tobytes(), len(kinds)) for c in content])
+
+
+class _Group:
+    """Rows of one key that meet in a task: the starts found of each row, and links that connect them."""
+
+    def __init__(self, rank: np.ndarray):
+        self.rank, self.root = rank, np.arange(len(rank))
+        self.found = np.zeros(len(rank), dtype=np.uint64)
+        self.links: list[tuple[int, int]] = []
+
+    def add(self, early: int, late: np.ndarray, bits: np.ndarray) -> None:
+        """Near-duplicates ``late`` of a row; rows must come in the order of their ranks."""
+        first = self.found[late] == 0
+        self.found[late] |= bits
+        for k, new in zip(late.tolist(), first.tolist(), strict=True):
+            if new or self.root[k] != self.root[early]:
+                self.links.append((k, early))
+                if self.root[k] != self.root[early]:
+                    self.root[self.root == self.root[k]] = self.root[early]
+
+
+def _meet(rank: np.ndarray, rows: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Starts found of each row, as bits, and links ``(late, early)``; with ``side`` only across sides.
+
+    No pair is left out but by bounds: a row without a possible start, rows of one document, and
+    a pair that is connected already while the later row has all its possible starts.
+    """
+    odd = _repeats(rows)
+    plain, any_row, kind = _possible(rows, odd)
+    group, kinds = _Group(rank), int(kind.max()) + 1
+    several, known = np.bincount(kind) > 1, {}
+    order = np.argsort(rank, kind="stable")
+    order = order[(any_row if odd.any() else plain)[order] != 0]
+    for k, y in enumerate(order.tolist()):
+        x = order[k + 1 :]
+        possible = any_row[x] if odd[y] else np.where(odd[x], any_row[x], plain[x])
+        # A pair without possible starts is out; a later row that has all of its own is only to be connected.
+        open_ = (possible & ~group.found[x] != 0) | ((possible != 0) & (group.root[x] != group.root[y]))
+        x = x[(rank[x] > rank[y]) & open_]
+        if side is not None:
+            x = x[side[x] != side[y]]
+        if not len(x):
+            continue
+        bits, done = known.get(kind[y]) or (np.zeros(kinds, dtype=np.uint64), np.zeros(kinds, dtype=bool))
+        if several[kind[y]]:
+            known[kind[y]] = bits, done
+        new, at = np.unique(kind[x], return_index=True)
+        some = x[at[~done[new]]]
+        done[new] = True
+        for part in np.array_split(some, max(1, len(some) // 4096)):
+            like = np.broadcast_to(rows[y], (len(part), rows.shape[1]))
+            bits[kind[part]], _ = verify(rows[part], like, odd[part], np.repeat(odd[y], len(part)))
+        hit = x[bits[kind[x]] != 0]
+        group.add(y, hit, bits[kind[hit]])
+    return group.found, group.links
+
+
+_OPEN_ROWS = "key BIGINT, rank BIGINT, content BINARY, at BIGINT, chunk BIGINT, ref BIGINT, block BIGINT, blocks BIGINT"
+_LINKS = "chunk BIGINT, ref BIGINT, other BIGINT, starts BIGINT"
+_GROUP = ["key", "lo", "hi"]
 
 
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Verified links of runs of equal keys; rows arrive sorted, a run may cross batches."""
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        key, rank = frame[["key", "salt"]].to_numpy(), frame["rank"].to_numpy()
+        key, rank, block = frame[_GROUP].to_numpy(), frame["rank"].to_numpy(), frame["block"].to_numpy()
         rows = _around(list(frame["content"]), frame["at"].to_numpy())
         head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
-        pairs: list[tuple[int, int]] = []
-        for lo, hi in zip(head, np.append(head[1:], len(key)), strict=True):
-            pairs += [(lo + i, lo + j) for i, j in _pairs(rank[lo:hi], rows[lo:hi])]
-        i, j = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
-        other = rank[i] != rank[j]
-        i, j = i[other], j[other]
-        start = np.concatenate([verify(rows[i[s : s + 4096]], rows[j[s : s + 4096]]) for s in range(0, len(i), 4096)] or [i])
-        # The link is noted at the later of the two documents.
+        size = np.diff(np.append(head, len(key)))
+        found, links = np.zeros(len(key), dtype=np.uint64), []
+        # Pairs of small groups are verified together.
+        few = [head[size == n][:, None] + np.array(list(combinations(range(n), 2))).T.reshape(2, 1, -1) for n in range(2, FEW + 1) if (size == n).any()]
+        i, j = (np.concatenate([np.zeros(0, np.int64), *[f[s].ravel() for f in few]]) for s in range(2))
+        apart = (rank[i] != rank[j]) & ((key[i, 1] == key[i, 2]) | (block[i] != block[j]))
+        i, j = i[apart], j[apart]
         late, early = np.where(rank[i] > rank[j], i, j), np.where(rank[i] > rank[j], j, i)
-        good = start >= 0
-        late, early = late[good], early[good]
-        out = frame[["chunk", "ref"]].iloc[late].reset_index(drop=True)
-        return out.assign(other=rank[early], start=start[good] - _REACH)
+        odd = _repeats(rows) if len(i) else np.zeros(len(rows), dtype=bool)
+        for at in range(0, len(late), 4096):
+            x, y = late[at : at + 4096], early[at : at + 4096]
+            bits, _ = verify(rows[x], rows[y], odd[x], odd[y])
+            np.bitwise_or.at(found, x, bits)
+            links += zip(x[bits != 0].tolist(), y[bits != 0].tolist(), strict=True)
+        for lo, n in zip(head[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
+            side = block[lo : lo + n] if key[lo, 1] != key[lo, 2] else None
+            found[lo : lo + n], own = _meet(rank[lo : lo + n], rows[lo : lo + n], side)
+            links += [(lo + k, lo + e) for k, e in own]
+        x, y = np.array(links, dtype=np.int64).reshape(-1, 2).T
+        # The link is noted at the later of the two documents.
+        out = frame[["chunk", "ref"]].iloc[x].reset_index(drop=True)
+        return out.assign(other=rank[y], starts=found[x].view(np.int64))
 
     rest = None
     for batch in batches:
         frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        last = (frame[["key", "salt"]].to_numpy() == frame[["key", "salt"]].iloc[-1].to_numpy()).all(axis=1)
+        last = (frame[_GROUP].to_numpy() == frame[_GROUP].iloc[-1].to_numpy()).all(axis=1)
         rest = frame[last]
         if not last.all():
             yield solve(frame[~last])
@@ -294,29 +365,36 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield solve(rest)
 
 
-def _open_rows(parts: int):
-    """Windows whose key has other contexts. A hot key's rows are dealt by what follows and by what precedes."""
+def _open_rows(parts: int, block_rows: int):
+    """Windows whose key has other contexts. A hot key's rows are dealt to blocks."""
 
     def rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         texts = texts_of(left)
         found = find_windows(texts.data, texts.rank)
-        verdict, _ = found.verdicts(right, parts)
+        verdict, contexts = found.verdicts(right, parts)
         m, out = found.more, []
         own = np.arange(len(verdict)) == found.leader
+        chunk = int(left["chunk"].iloc[0])
         for x in np.flatnonzero(own & (verdict >= OPEN)):
             lo, hi, c = (int(m[name][x]) for name in ("lo", "hi", "at"))
             values = (found.shingles[m["doc"][x]][lo : hi + 1] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             values[values == 0] = 1
-            salts = [0]
-            if verdict[x] == HOT:
-                salts = [1 + 2 * int(values[min(c - lo + 8, hi - lo)]), 2 + 2 * int(values[max(c - lo - 8, 0)])]
-            for salt in salts:
-                out.append((int(found.key[x]), salt, int(found.rank[x]), values.tobytes(), c - lo, int(left["chunk"].iloc[0]), int(x)))
-        return pd.DataFrame(out, columns=["key", "salt", "rank", "content", "at", "chunk", "ref"])
+            blocks = max(1, -(-int(contexts[x]) // block_rows))
+            block = int(mixed(found.context[x : x + 1], 91)[0] % np.uint64(blocks))
+            out.append((int(found.key[x]), int(found.rank[x]), values.tobytes(), c - lo, chunk, int(x), block, blocks))
+        return pd.DataFrame(out, columns=["key", "rank", "content", "at", "chunk", "ref", "block", "blocks"])
 
     return rows
 
 
+def _runs(starts: int) -> list[tuple[int, int]]:
+    """First and last of each run of bits that are set."""
+    bit = np.zeros(PASSAGE + 2, dtype=np.int8)
+    bit[1:-1] = [starts >> f & 1 for f in range(PASSAGE)]
+    edges = np.flatnonzero(np.diff(bit))
+    return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
+
+
 def _passages(parts: int):
     """Of each row its passages with a near-duplicate in an earlier document, and those documents."""
 
@@ -333,15 +411,16 @@ def _passages(parts: int):
             others[d].add(int(twin[x]))
         links = right[right["verdict"].isna()]
         by_leader: dict[int, list[tuple[int, int]]] = {}
-        for ref, other, start in zip(links["part"], links["other"], links["start"], strict=True):
-            by_leader.setdefault(int(ref), []).append((int(other), int(start)))
+        for ref, other, starts in zip(links["part"], links["other"], links["starts"], strict=True):
+            by_leader.setdefault(int(ref), []).append((int(other), int(starts)))
         if by_leader:
             for x in np.flatnonzero(np.isin(found.leader, list(by_leader))):
                 d, c = m["doc"][x], int(m["at"][x])
-                for other, start in by_leader[int(found.leader[x])]:
-                    if found.rank[x] > other:
-                        runs[d].append((c + start, c + start + PASSAGE - 1 + SHINGLE))
-                        others[d].add(other)
+                own = by_leader[int(found.leader[x])]
+                others[d].update(other for other, _ in own)
+                for starts in {starts for _, starts in own}:
+                    for first, last in _runs(starts):
+                        runs[d].append((c - _REACH + first, c - _REACH + last + PASSAGE - 1 + SHINGLE))
         flat = []
         for spans in runs:
             merged: list[int] = []
@@ -366,27 +445,34 @@ def _passages(parts: int):
     return rows
 
 
-def near_duplicate_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_words, passages, others, class_id)`` for each row of ``docs``.
+def near_duplicate_passages(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_rows: int = BLOCK
+) -> DataFrame:
+    """``(doc_id, n_words, passages, others, n_links, class_id)`` for each row of ``docs``.
 
     ``passages`` is a flat list of word ranges (start and end) that are near-duplicates of a passage in a
     document with a smaller id: 50 words or more with a Jaccard similarity of 0.8 or more over five-word
-    shingles. ``others`` are such documents, those that were compared; ``class_id`` is the smallest
-    document that a chain of such links reaches, itself if there is none. Texts below 50 words, null and
+    shingles. All contexts of a key are compared, above ``block_rows`` of them block against block in tasks
+    of their own. ``others`` are such documents: links enough to connect a class, at least one for each document
+    with passages; ``class_id`` is the smallest document that a chain of links reaches, itself if there is
+    none, and ``n_links`` the number of ids before the document's in its class, 0 without passages. Texts below 50 words, null and
     empty ones have no passages. A null id counts as larger than all others and has its class's smallest id,
     or none; rows of one id are never linked to each other. Other columns are not read.
     """
     chunks, total = chunked(docs, doc_id, text, CHUNK_BYTES)
     parts = max(1, -(-total // (32 * PART_KEYS)))
     verdicts = judge(chunks, find_windows, parts)
-    opened = chunks.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInPandas(_open_rows(parts), _OPEN_ROWS)
-    links = opened.repartition("key", "salt").sortWithinPartitions("key", "salt").mapInPandas(_solve, _LINKS)
+    opened = chunks.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInPandas(_open_rows(parts, block_rows), _OPEN_ROWS)
+    # Each row meets each block of its key once.
+    with_block = opened.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("o"))
+    dealt = with_block.withColumns({"lo": F.least("block", "o"), "hi": F.greatest("block", "o")}).drop("o", "blocks")
+    links = dealt.repartition(*_GROUP).sortWithinPartitions(*_GROUP).mapInPandas(_solve, _LINKS)
     nothing, zero = F.lit(None).cast("binary"), F.lit(0).cast("bigint")
     back = verdicts.select(
-        "chunk", "part", "verdict", "twin", zero.alias("other"), zero.alias("start")
+        "chunk", "part", "verdict", "twin", zero.alias("other"), zero.alias("starts")
     ).unionByName(
         links.distinct().select(
-            "chunk", F.col("ref").alias("part"), nothing.alias("verdict"), nothing.alias("twin"), "other", "start"
+            "chunk", F.col("ref").alias("part"), nothing.alias("verdict"), nothing.alias("twin"), "other", "starts"
         )
     )
     marked = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(
@@ -396,8 +482,15 @@ def near_duplicate_passages(docs: DataFrame, doc_id: str = "doc_id", text: str =
     marked = stage(marked, "passages")
     edges = marked.select(F.col("rank").alias("u"), F.explode("others").alias("v")).distinct()
     roots = components(stage(edges, "passage-links"), "passage-classes")
-    named = marked.join(roots.withColumnRenamed("node", "rank"), "rank", "left")
+    before = F.row_number().over(Window.partitionBy("root").orderBy("node")) - 1
+    placed = roots.select(F.col("node").alias("rank"), "root", before.cast("bigint").alias("before"))
+    named = marked.join(placed, "rank", "left")
     root = F.coalesce("root", "rank")
     return named.select(
-        "doc_id", "n_words", "passages", "others", F.when(root != LAST, root).alias("class_id")
+        "doc_id",
+        "n_words",
+        "passages",
+        "others",
+        F.when(F.size("others") > 0, F.col("before")).otherwise(F.lit(0).cast("bigint")).alias("n_links"),
+        F.when(root != LAST, root).alias("class_id"),
     )

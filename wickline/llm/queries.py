@@ -133,7 +133,7 @@ def op10_compact_windows(spark, sf_dir) -> DataFrame:
         "n_words",
         F.aggregate(lengths, F.lit(0).cast("bigint"), lambda total, x: total + x).alias("n_dup_words"),
         (F.size("passages") / 2).cast("bigint").alias("n_passages"),
-        F.size("others").cast("bigint").alias("n_links"),
+        "n_links",
         "class_id",
         "others",
         "passages",

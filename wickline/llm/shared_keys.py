@@ -59,7 +59,10 @@ class Found:
         return [(int(part[at[0]]), self.leaders[at]) for at in np.split(order, cuts) if len(at)]
 
     def verdicts(self, rows: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """Verdict and twin's rank of every occurrence; a follower of a leader shares its verdict."""
+        """Verdict and twin's rank of every occurrence; a follower of a leader shares its verdict.
+
+        Where the verdict is OPEN or HOT, the number of the key's contexts stands in place of the rank.
+        """
         verdict, twin = np.zeros(len(self.key), dtype=np.uint8), np.zeros(len(self.key), dtype=np.int64)
         sent = dict(self.by_part(parts))
         for part, v, t in zip(rows["part"], rows["verdict"], rows["twin"], strict=True):
@@ -138,7 +141,7 @@ def judge(chunks: DataFrame, extract: Extract, parts: int) -> DataFrame:
         state = np.where(several & (r > least), TWIN, ALONE)
         state = np.where(several & (r == least) & (contexts > 1), np.where(contexts > HOT_CONTEXTS, HOT, OPEN), state)
         verdict[order] = state
-        twin[order] = np.where(state == TWIN, least, 0)
+        twin[order] = np.where(state == TWIN, least, np.where(state >= OPEN, contexts.astype(np.int64), 0))
         ends = np.cumsum(sizes)
         squeeze = zstandard.ZstdCompressor(level=1).compress
         rows = [
