@@ -371,6 +371,33 @@ def test_passages_in_blocks_equal_those_in_one(spark):
     assert one == many and sum(r[2] > 0 for r in one) > 30
 
 
+def _edited_corpus(rng, n):
+    """Documents that hold edited copies of passages of 60 to 90 words: words changed, put in or left out."""
+    rows, sources = [], [_random_words(rng, int(rng.integers(60, 91))) for _ in range(n)]
+    for i in range(3 * n):
+        words = sources[i % n].copy()
+        for _ in range(i // n):
+            at = int(rng.integers(len(words)))
+            kind = int(rng.integers(3))
+            words[at : at + (kind != 1)] = _random_words(rng, int(kind != 2))
+        rows.append((i, " ".join(_random_words(rng, 20) + words + _random_words(rng, 20))))
+    return rows
+
+
+def test_passages_recall_against_brute_force(spark):
+    rows = _edited_corpus(np.random.default_rng(14), 60)
+    want = brute.passages(rows)
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    hit = total = linked = 0
+    for r in compact_windows.near_duplicate_passages(frame).collect():
+        got = {w for s, e in zip(r.passages[::2], r.passages[1::2], strict=True) for w in range(s, e)}
+        assert got <= want[r.doc_id][0] and want[r.doc_id][1] <= r.class_id
+        hit, total, linked = hit + len(got), total + len(want[r.doc_id][0]), linked + bool(got)
+    near = sum(bool(w) for w, _ in want.values())
+    print(f"words {hit} of {total}, documents {linked} of {near}")
+    assert total > 4000 and hit >= 0.99 * total and linked >= 0.99 * near
+
+
 def test_compact_windows_equal_definition():
     rng = np.random.default_rng(6)
     values = rng.integers(0, 1 << 62, 300).astype(np.uint64)

@@ -22,7 +22,7 @@ SHINGLE, PASSAGE, SIMILARITY = 5, 46, 0.8
 #: Shingles that two passages without repeats must have in common.
 NEEDED = int(np.ceil(2 * PASSAGE * SIMILARITY / (1 + SIMILARITY)))
 #: Hash functions whose windows are joined.
-HASHES = 3
+HASHES = 4
 CHUNK_BYTES, PART_KEYS = 4 << 20, 1_500_000
 #: Contexts of a key that one comparison block holds; rows up to which all pairs are verified together.
 BLOCK, FEW = 2000, 32
