@@ -398,6 +398,17 @@ def test_passages_recall_against_brute_force(spark):
     assert total > 4000 and hit >= 0.99 * total and linked >= 0.99 * near
 
 
+def test_passages_have_exact_ends(spark):
+    rng = np.random.default_rng(15)
+    shared = _random_words(rng, 60)
+    rows = [(i, " ".join(_random_words(rng, 80) + shared + _random_words(rng, 80))) for i in range(6)]
+    want = brute.passages(rows)
+    assert want[1][0] == set(range(75, 145))  # five foreign words at either end leave J at 0.8
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = {r.doc_id: list(r.passages) for r in compact_windows.near_duplicate_passages(frame).collect()}
+    assert found == {0: [], **{i: [75, 145] for i in range(1, 6)}}
+
+
 def test_compact_windows_equal_definition():
     rng = np.random.default_rng(6)
     values = rng.integers(0, 1 << 62, 300).astype(np.uint64)
