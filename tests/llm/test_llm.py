@@ -441,6 +441,12 @@ def test_toxicity_learns_words_from_documents():
     assert max(model.weights, key=model.weights.get) == "nasty"
 
 
+def test_toxicity_without_both_classes_keeps_documents(spark, docs):
+    for texts, labels in (([], []), (["bad words here", "more of them"], [1, 1]), (["fine text"], [0])):
+        found = toxicity.locate(docs, toxicity.fit(texts, labels)).select("toxicity.score").collect()
+        assert len(found) == len(ROWS) and all(r.score < 0.5 for r in found)
+
+
 def test_toxicity_scores_odd_texts(spark, docs):
     model = toxicity.Model({"fox": 20.0}, -10.0, -3.0)
     rows = toxicity.locate(docs, model).select("doc_id", "text", "toxicity.*").collect()

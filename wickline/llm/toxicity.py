@@ -65,13 +65,14 @@ def fit(texts: list[str], labels: list[int], n_words: int = 2048, steps: int = 3
     score of sentence ``s``. With ``S = softplus(leak) + sum(softplus(z_s))`` the loss is ``S`` for label
     0 and ``-log(1 - exp(-S))`` for label 1. Features are the ``n_words`` words most associated with
     either label; weights are shrunk towards zero. Near copies count once, so that a copied document
-    does not teach its own words.
+    does not teach its own words. Without labels of both classes no word is learnt and every document
+    scores 0.05 at most, so that none is called toxic.
     """
     bags = [_word_set(t) for t in texts]
     kept = _without_copies(bags)
     y = np.array([labels[i] for i in kept], dtype=np.float64)
     if len(kept) == 0 or y.min() == y.max():
-        rate = (sum(labels) + 0.5) / (len(labels) + 1.0)
+        rate = min(0.05, (sum(labels) + 0.5) / (len(labels) + 1.0))
         return Model({}, -20.0, float(np.log(rate / (1 - rate))))
     counts: dict[str, list[int]] = {}
     for i, label in zip(kept, y, strict=True):
