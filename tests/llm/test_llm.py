@@ -447,6 +447,12 @@ def test_toxicity_without_both_classes_keeps_documents(spark, docs):
         assert len(found) == len(ROWS) and all(r.score < 0.5 for r in found)
 
 
+def test_copies_of_an_item_do_not_fill_a_block(spark):
+    rows = [(1, "one two three four")] * 500 + [(2, "five six")]
+    items, n = decontamination._blocks(spark.createDataFrame(rows, "item_id BIGINT, text STRING"), "item_id", "text", 10)
+    assert n == 1 and items.count() == 2
+
+
 def test_toxicity_scores_odd_texts(spark, docs):
     model = toxicity.Model({"fox": 20.0}, -10.0, -3.0)
     rows = toxicity.locate(docs, model).select("doc_id", "text", "toxicity.*").collect()

@@ -162,7 +162,7 @@ def _matcher(shared, prefixes):
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> tuple[DataFrame, int]:
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
+    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")).distinct()
     size = rows.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z0-9\\x80-\\x{10FFFF}]+")))).first()[0]
     n = max(1, -(-(size or 0) // block_words))
     return rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
