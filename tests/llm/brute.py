@@ -204,3 +204,86 @@ def passages(docs, n=50):
                     a, b = sorted((find(late), find(early)))
                     root[b] = a
     return {i: (out[i], find(i)) for i in words}
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, min_docs=10, top=10):
+    """Rows ``(lang, source, part, item, value, rank)`` of documents ``(text, lang, source)``."""
+    seen, counts = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in docs:
+        words = TERM.findall((text or "").translate(AZ))
+        seen[lang or ""].update(set(words))
+        counts[lang or "", source or ""].update(words)
+    out = []
+    for lang in {each for each, _ in counts}:
+        kept = sorted((t for t, n in seen[lang].items() if n >= min_docs), key=str.encode)
+
+        def shares(count):
+            n = sum(count[t] for t in kept)
+            return [1 + 10**9 * (count[t] + 2) // (n + 2 * len(kept)) for t in kept]
+
+        def far(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        groups = {s: c for (each, s), c in counts.items() if each == lang}
+        p = {s: shares(c) for s, c in groups.items()}
+        q = shares(sum(groups.values(), Counter()))
+        for s in groups:
+            pair = [(-sum(map(far, p[s], p[o])), o.encode()) for o in groups if o != s]
+            term = [(-far(a, b), t.encode()) for t, a, b in zip(kept, p[s], q) if groups[s][t] and a > b]
+            for part, rows, most in (("pair", pair, None), ("term", term, top)):
+                out += [(lang, s, part, i.decode(), -v, r) for r, (v, i) in enumerate(sorted(rows)[:most], 1)]
+    return out
+
+
+def near_duplicates(docs, n=4):
+    """Rows ``(doc_id, n_shingles, component_id)`` of documents ``(doc_id, text)``, all pairs that share a shingle."""
+    sets = []
+    for _, text in docs:
+        words = SPACE_WORD.findall((text or "").translate(AZ))
+        sets.append({tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set())
+    parent = list(range(len(docs)))
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    holders = defaultdict(list)
+    for i, grams in enumerate(sets):
+        common = Counter(j for g in grams for j in holders[g])
+        for g in grams:
+            holders[g].append(i)
+        for j, c in common.items():
+            if 100 * c >= 80 * (len(grams) + len(sets[j]) - c):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    least = {}
+    for i, (doc_id, _) in enumerate(docs):
+        if doc_id is not None:
+            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return [(d, len(sets[i]), least.get(root(i)) if sets[i] else d) for i, (d, _) in enumerate(docs)]
+
+
+def whiten(rows, top=4):
+    """``{(vec_id, component): [(n, deviation, whitened, explained), ...]}`` by a dense eigenvector solver."""
+    kept = [
+        (i, np.floor(256 * np.array(v, dtype=float)).astype(int))
+        for i, v in rows
+        if v and all(c is not None and np.isfinite(c) for c in v)
+    ]
+    fit = np.array(sorted({tuple(int(c) for c in x) for _, x in kept}))
+    n, s = len(fit), fit.sum(0)
+    centred = fit - s / n
+    e, vectors = np.linalg.eigh(centred.T @ centred / n)
+    e, vectors = e[::-1], vectors[:, ::-1]
+    m = min(top, int((e > 1e-12 * e.sum()).sum()))
+    out = defaultdict(list)
+    for i, x in kept:
+        w = (x - s / n) @ vectors[:, :m] / np.sqrt(e[:m])
+        deviation = sum((n * int(a) - int(b)) ** 2 for a, b in zip(x, s))
+        for k in range(m):
+            out[i, k + 1].append((n, deviation, w[k], e[k] / e.sum()))
+    return out

@@ -9,6 +9,8 @@ from wickline.llm import (
     bloom_lm,
     compact_windows,
     decontamination,
+    divergence,
+    minhash,
     mixing,
     quality,
     secret_scan,
@@ -16,6 +18,7 @@ from wickline.llm import (
     suffix_dedup,
     toxicity,
     warc,
+    whitening,
 )
 from wickline.llm.common import Query, held_out, read_table
 from wickline.session import scratch_path
@@ -29,6 +32,16 @@ def _query(query: Query) -> Query:
     return query
 
 
+def _checked(sql: str):
+    """Register a query together with its DuckDB equivalent."""
+
+    def register(query: Query) -> Query:
+        ORACLE[query.__name__] = sql
+        return _query(query)
+
+    return register
+
+
 @_query
 def op1_toxicity(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -140,6 +153,67 @@ def op10_compact_windows(spark, sf_dir) -> DataFrame:
     )
 
 
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_FAR = "(p - q) * (p - q) // (p + q)"
+
+
+@_checked(
+    f"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+tokens AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM tokens GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint AS n
+          FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+group_p AS (SELECT lang, source, term, n, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+            FROM cells JOIN sizes USING (lang)),
+lang_p AS (SELECT lang, term, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+           FROM (SELECT lang, term, sum(n) AS n FROM cells GROUP BY ALL) JOIN sizes USING (lang)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+                     FROM group_p x JOIN group_p y USING (lang, term) GROUP BY ALL) f
+            ON f.lang = a.lang AND f.source = a.source AND f.other = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, {_FAR} AS value
+          FROM group_p JOIN lang_p USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::bigint AS value, rank::int AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= 10"""
+)
+def op11_divergence(spark, sf_dir) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+@_checked(
+    f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_AZ}), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+sets AS (SELECT row, doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+           range(1, greatest(1, len(words) - 3) + 1), lambda i: array_to_string(words[i:i + 3], ' '))) END AS s FROM d),
+grams AS (SELECT row, len(s) AS size, unnest(s) AS gram FROM sets),
+links AS (SELECT a.row AS u, b.row AS v FROM grams a JOIN grams b USING (gram) GROUP BY a.row, b.row, a.size, b.size
+          HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))),
+reach AS (SELECT row AS u, row AS v FROM d UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v),
+least AS (SELECT u AS row, min(doc_id) AS component_id FROM reach r JOIN (SELECT row AS v, doc_id FROM d) USING (v) GROUP BY u)
+SELECT doc_id, len(s)::bigint AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM sets JOIN least USING (row)"""
+)
+def op12_minhash(spark, sf_dir) -> DataFrame:
+    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@_query
+def op13_whitening(spark, sf_dir) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def _pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
 
