@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import io
 import zipfile
 from collections.abc import Iterator
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 
 from wickline.operators import dedup, ohlcv, to_silver
 from wickline.schemas import BRONZE, RAW
-from wickline.session import hadoop_path
 
 _DIMENSION = [("CLICK", "Click"), ("ERROR", "Error"), ("VIEW", "View"), ("PURCHASE", "Purchase")]
 
@@ -116,20 +114,6 @@ def zipped(df: DataFrame) -> DataFrame:
     return df.mapInPandas(pack, "symbol STRING, content BINARY")
 
 
-def write_zip_tree(df: DataFrame, raw: str) -> None:
-    """Candles as ``.zip`` files below ``raw``, one for each batch of a task and symbol.
-
-    The file names carry a digest of the content, so a task that runs again writes the same files.
-    """
-    spark = df.sparkSession
-    for row in zipped(df).toLocalIterator():  # Spark writes no ZIP; one task's archives at a time
-        name = hashlib.sha1(row.content).hexdigest()
-        target, files = hadoop_path(spark, f"{raw}/{row.symbol}/1m/{row.symbol}-1m-{name}.zip")
-        out = files.create(target)
-        out.write(row.content)
-        out.close()
-
-
 # The same inputs for DuckDB.
 _CANDLES = """
 SELECT open_time, open, greatest(open, close) AS high,

@@ -205,11 +205,17 @@ _CHANGE_24H = _CHANGE.format(bars=_LAST_24H)
 _TRADE_GOLD = I.bars_sql(I.deduped_sql(I.TRADES), DAY)
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def _stored_gold(spark: SparkSession, sf: str) -> tuple[DataFrame, date | None]:
-    """Gold as a table, which prunes by its folders, and its newest date."""
-    path = scratch_path(spark, "market")
-    op.replace_partitions(I.gold(spark, sf), path, GOLD)
-    return sources.read_table(spark, path, GOLD), sources.newest_date(spark, path)
+    """Gold as a table, which prunes by its folders, and its newest date. Written once in a session."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _stored:
+        path = scratch_path(spark, "market")
+        op.replace_partitions(I.gold(spark, sf), path, GOLD)
+        _stored[key] = path
+    return sources.read_table(spark, _stored[key], GOLD), sources.newest_date(spark, _stored[key])
 
 
 @checked(f"SELECT {_BAR} FROM ({_LAST_24H})")
@@ -856,7 +862,122 @@ def zip_tree_ingest(spark, sf):
     rows = I.klines(spark, sf)
     zipped = rows.filter("symbol IN ('CLICK', 'ERROR')")
     raw = I.write_raw_tree(rows.filter("symbol NOT IN ('CLICK', 'ERROR')"), home)
-    I.write_zip_tree(zipped, raw)
+    sources.write_archives(zipped, raw)
     bronze = f"{home}/bronze"
     plans.ingest(spark, raw, bronze, "2024-02-01")
     return _plain(sources.read_table(spark, bronze, BRONZE))
+
+
+@checked(_RAW_ROWS)
+def incremental_ingest(spark, sf):
+    """A tree of CSV and ZIP files that grows twice; every file reaches bronze once, however often the job runs."""
+    home = scratch_path(spark, "incremental")
+    rows, raw = I.klines(spark, sf), f"{home}/raw"
+    bronze, checkpoint = f"{home}/bronze", f"{home}/checkpoint"
+    for days in ("date < '2024-01-08'", "date BETWEEN '2024-01-08' AND '2024-01-20'", "date > '2024-01-20'"):
+        some = rows.withColumn("date", fn.utc_date("open_time")).filter(days).drop("date")
+        I.write_raw_tree(some.filter("symbol NOT IN ('CLICK', 'ERROR')"), home)
+        sources.write_archives(some.filter("symbol IN ('CLICK', 'ERROR')"), raw)
+        plans.ingest_new(spark, raw, bronze, checkpoint, "2024-02-01", max_files=40)
+    if plans.ingest_new(spark, raw, bronze, checkpoint, "2024-02-01")["files"]:
+        raise AssertionError("all files should have been seen")
+    return _plain(sources.read_table(spark, bronze, BRONZE))
+
+
+@checked(_RAW_ROWS)
+def archive_members(spark, sf):
+    """Archives written by tasks, one a symbol and day, and read file by file."""
+    raw = scratch_path(spark, "archives")
+    sources.write_archives(I.klines(spark, sf), raw)
+    return _plain(to_bronze(sources.read_kline_archives(spark, raw, by_member=True), "2024-02-01"))
+
+
+@checked(
+    f"SELECT * FROM ({_RAW_ROWS}) WHERE symbol IN ('CLICK', 'VIEW') "
+    "AND cast(make_timestamp(open_time) AS date) BETWEEN '2024-01-10' AND '2024-01-19'"
+)
+def archive_dates(spark, sf):
+    """Of the archives of two symbols those whose names hold a pattern."""
+    raw = scratch_path(spark, "archive-dates")
+    sources.write_archives(I.klines(spark, sf), raw)
+    scope = {"symbols": ["CLICK", "VIEW"], "resolution": "1m", "date_pattern": "2024-01-1"}
+    return _plain(to_bronze(sources.read_kline_archives(spark, raw, **scope), "2024-02-01"))
+
+
+def _rolled(spark: SparkSession, sf: str, timeframe: str) -> DataFrame:
+    """Coarse bars from two batches that share most of them."""
+    path, bars = scratch_path(spark, "rolled"), I.gold(spark, sf)
+    late = "date > '2024-01-20' OR num_trades % 2 = 1"
+    op.add_bars(spark, bars.filter(f"NOT ({late})"), path, timeframe)
+    op.add_bars(spark, bars.filter(late), path, timeframe)
+    return op.coarse_bars(sources.read_table(spark, path, op.BAR_STATES))
+
+
+@checked(_resampled(f"timestamp // {4 * HOUR} * {4 * HOUR}"))
+def rolled_4h(spark, sf):
+    return _rolled(spark, sf, "4H")
+
+
+@checked(_resampled(_WEEK))
+def rolled_1w(spark, sf):
+    return _rolled(spark, sf, "1W")
+
+
+@checked(_INTERVAL.format(gaps=_KLINE_GAPS))
+def stored_interval(spark, sf):
+    """The interval from a table of gap histograms, after a day that came in two batches."""
+    path = scratch_path(spark, "gaps")
+    rows = op.dedup(I.klines(spark, sf)).withColumn("date", fn.utc_date("open_time"))
+    op.update_gaps(rows.filter("date < '2024-01-15' OR date = '2024-01-15' AND num_trades < 5"), path)
+    op.update_gaps(rows.filter("date >= '2024-01-15'"), path)
+    return op.stored_interval(sources.read_table(spark, path, op.GAP_STATES))
+
+
+@checked(
+    f"WITH w AS ({_INTERVAL.format(gaps=_SOUND_GAPS)}), "
+    f"k AS ({I.deduped_sql(_SOUND)}) "
+    f"SELECT {_BAR} FROM ("
+    + I.bars_sql("SELECT k.*, interval_seconds * 1000000 AS w FROM k, w", "w")
+    + ")"
+)
+def medallion_gaps(spark, sf):
+    """New files only to bronze, and the bar width from the stored gaps."""
+    home = scratch_path(spark, "medallion-gaps")
+    raw = I.write_raw_tree(I.sound_klines(spark, sf), home)
+    metadata = f"{home}/metadata"
+    I.dimension(spark).write.option("header", True).csv(metadata)
+    bronze, silver, gold, gaps = (f"{home}/{layer}" for layer in ("bronze", "silver", "gold", "gaps"))
+    plans.ingest_new(spark, raw, bronze, f"{home}/checkpoint", "2024-02-01")
+    plans.refine(spark, bronze, silver, metadata, "2024-02-01", gaps)
+    plans.aggregate(spark, silver, gold, "2024-02-01", bronze=bronze, gaps=gaps)
+    return _plain(sources.read_table(spark, gold, GOLD))
+
+
+@checked(_all_bars(300_000_000))
+def cluster_interleaved(spark, sf):
+    """Ordered by time and price together; no row may change."""
+    path = scratch_path(spark, "interleaved")
+    op.replace_partitions(I.gold(spark, sf), path, GOLD, ["symbol"])
+    op.cluster(spark, path, GOLD, by=["timestamp", "close"], partitions=["symbol"], files=32)
+    return _plain(sources.read_table(spark, path, GOLD))
+
+
+_TWO_TABLES = """
+SELECT g.symbol, g.timestamp, g.high - d.low AS over_low
+FROM (SELECT symbol, date AS day, timestamp, high FROM gold_ohlcv) g
+JOIN (SELECT symbol, date AS day, min(low) AS low FROM gold_ohlcv
+      WHERE date >= DATE '2024-01-10' AND date <= DATE '2024-01-12' GROUP BY symbol, date) d
+  ON g.symbol = d.symbol AND g.day = d.day
+WHERE g.symbol = 'CLICK' OR g.symbol = 'VIEW'
+UNION ALL
+SELECT symbol, timestamp, high - (SELECT min(low) FROM gold_ohlcv WHERE symbol = 'ERROR' AND date = DATE '2024-01-11')
+FROM gold_ohlcv WHERE symbol IN ('ERROR') AND date = DATE '2024-01-11'"""
+
+
+@checked(_views(_TWO_TABLES))
+def sql_required_tables(spark, sf):
+    """Each of four scans must be bounded: through aliases, a join, a union and a subquery."""
+    path = scratch_path(spark, "required-tables")
+    op.replace_partitions(I.gold(spark, sf), path, GOLD)
+    sources.register_views(spark, gold=path)
+    return plans.ask_sql(spark, _TWO_TABLES, require=("symbol", "date"))

@@ -18,6 +18,15 @@ from wickline.operators.quality import (
     run_suite,
     validate,
 )
+from wickline.operators.rollup import (
+    BAR_STATES,
+    GAP_STATES,
+    add_bars,
+    coarse_bars,
+    replace_bars,
+    stored_interval,
+    update_gaps,
+)
 from wickline.operators.selection import (
     CHART_ROWS,
     TABLE_ROWS,
@@ -33,15 +42,19 @@ from wickline.operators.selection import (
 from wickline.operators.tables import append, cluster, export_csv, replace_partitions, upsert
 
 __all__ = [
+    "BAR_STATES",
     "CHART_ROWS",
+    "GAP_STATES",
     "SILVER_SUITE",
     "TABLE_ROWS",
     "TIMEFRAMES",
     "QualityError",
+    "add_bars",
     "append",
     "close_between",
     "close_bounds",
     "cluster",
+    "coarse_bars",
     "dedup",
     "export_csv",
     "freshness",
@@ -57,12 +70,15 @@ __all__ = [
     "pct_change_24h",
     "quality_counts",
     "range_summary",
+    "replace_bars",
     "replace_partitions",
     "resample",
     "run_suite",
     "source_interval",
+    "stored_interval",
     "to_silver",
     "top_movers",
+    "update_gaps",
     "upsert",
     "validate",
     "volume_24h",

@@ -36,6 +36,11 @@ def ohlcv(df: DataFrame, window_us: int | Column) -> DataFrame:
     return conform(bars, GOLD, date=utc_date("timestamp"))
 
 
+def bar_label(timeframe: str) -> Column:
+    """The label of the coarse bar that a bar falls into."""
+    return week_label("timestamp") if timeframe == "1W" else bucket_start("timestamp", _WIDTHS[timeframe])
+
+
 def resample(bars: DataFrame, timeframe: str) -> DataFrame:
     """Bars of a coarser ``timeframe`` as ``symbol, timestamp, open, high, low, close, volume``.
 
@@ -46,11 +51,7 @@ def resample(bars: DataFrame, timeframe: str) -> DataFrame:
         raise ValueError(f"unknown timeframe {timeframe!r}; use one of {TIMEFRAMES}")
     if timeframe == "1m":
         return bars.select("symbol", "timestamp", *_OHLCV)
-    label = (
-        week_label("timestamp")
-        if timeframe == "1W"
-        else bucket_start("timestamp", _WIDTHS[timeframe])
-    )
+    label = bar_label(timeframe)
 
     def time_of(price: str) -> Column:
         return F.when(F.col(price).isNotNull(), F.col("timestamp"))

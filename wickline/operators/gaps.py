@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickline.functions import HOUR_US, SECOND_US, bucket_start
@@ -44,16 +44,27 @@ def interval_gaps(
     return reduce(DataFrame.unionByName, found).filter("interval_us > 0")
 
 
+def rounded_seconds(gap: str = "interval_us") -> Column:
+    """A gap in whole seconds, rounded half-even, at least 1."""
+    return F.greatest(F.bround(F.col(gap) / SECOND_US, 0).cast("bigint"), F.lit(1))
+
+
 def source_interval(df: DataFrame, time: str = "open_time") -> DataFrame:
     """The source interval in whole seconds as one row ``interval_seconds`` (none if there is no gap).
 
     It is the exact discrete median of all gaps over all symbols, rounded half-even, at least 1.
     Rounding keeps the order, so the median is taken over rounded seconds: a histogram, counted
-    before the shuffle. The median is then located in two steps, first its block of 2^22 seconds, then
-    the second inside that block, so that neither running count exceeds 2^22 rows whatever the gaps.
+    before the shuffle.
+    """
+    return median_seconds(interval_gaps(df, time).groupBy(rounded_seconds().alias("seconds")).agg(F.count("*").alias("n")))
+
+
+def median_seconds(counts: DataFrame) -> DataFrame:
+    """The discrete median of a histogram ``seconds, n``, as one row ``interval_seconds`` (none if it is empty).
+
+    It is located in two steps, first its block of 2^22 seconds, then the second inside that block, so that
+    neither running count exceeds 2^22 rows whatever the gaps.
     """
-    rounded = F.greatest(F.bround(F.col("interval_us") / SECOND_US, 0).cast("bigint"), F.lit(1))
-    counts = interval_gaps(df, time).groupBy(rounded.alias("seconds")).agg(F.count("*").alias("n"))
     block_of = f"shiftright(seconds, {_BLOCK_BITS})"
 
     block = (

@@ -8,6 +8,7 @@ the job without a batch date (bronze is only ever appended to).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wickline.schemas import TABLE_PARTITIONS, conform
-from wickline.session import staged
+from wickline.session import hadoop_path, staged
 from wickline.sources.tables import read_table, table_exists
 
 
@@ -25,6 +26,39 @@ def append(df: DataFrame, path: str, partitions: list[str]) -> None:
     df.write.partitionBy(*partitions).mode("append").parquet(path)
 
 
+def _matching(spark: SparkSession, pattern: str) -> tuple[list, object]:
+    """Paths that match a glob, and their file system."""
+    glob, files = hadoop_path(spark, pattern)
+    return [status.getPath() for status in files.globStatus(glob) or []], files
+
+
+def publish(rows: DataFrame, path: str, partitions: list[str], name: str) -> Counter:
+    """Add the ``rows`` whose ``fate`` is ``kept`` to the table at ``path`` as the load ``name``.
+
+    What that load has added before is replaced. Returns the number of rows of each fate, which the footers of
+    the written files tell. Readers pass over the folder in which they are written, as its name begins with an
+    underscore. The driver moves the files one by one, as at any job commit.
+    """
+    spark, root = rows.sparkSession, path.rstrip("/")
+    beside, levels = f"{root}/_load-{name}", "/".join(f"{p}=*" for p in partitions)
+    earlier, files = _matching(spark, f"{root}/{levels}/load-{name}-*")
+    for file in earlier:
+        files.delete(file, False)
+    rows.write.partitionBy("fate", *partitions).mode("overwrite").parquet(beside)
+    fates = spark.read.schema("fate STRING").parquet(beside).groupBy("fate").count().collect()
+    kept, _ = hadoop_path(spark, f"{beside}/fate=kept")
+    written, files = _matching(spark, f"{beside}/fate=kept/{levels}/part-*")
+    for file in written:
+        folder = file.getParent().toUri().getPath().removeprefix(kept.toUri().getPath())
+        target, _ = hadoop_path(spark, f"{root}{folder}/load-{name}-{file.getName()}")
+        files.mkdirs(target.getParent())
+        if not files.rename(file, target):
+            raise OSError(f"could not move {file} to {target}")
+    files.delete(kept.getParent(), True)
+    spark.catalog.refreshByPath(path)
+    return Counter({r.fate: r["count"] for r in fates})
+
+
 def restrict(target: DataFrame, keys: DataFrame, on: list[str], prune: list[str]) -> DataFrame:
     """Rows of ``target`` whose ``on`` values occur in ``keys``.
 
@@ -130,26 +164,59 @@ def replace_partitions(
     _write_partitions(_sorted_files(conform(source, schema), partitions, order or []), path, partitions)
 
 
+def _count_below(value: Column) -> Callable[[Column, Column], Column]:
+    return lambda count, bound: count + (bound < value).cast("bigint")
+
+
+def interleaved(df: DataFrame, columns: list[str], bits: int = 6) -> Column:
+    """A key along which rows close in all of ``columns`` lie close: the columns' ranks, bit by bit in turn.
+
+    A rank is the number of the column's ``2**bits - 1`` quantiles below the value, so that skewed columns are
+    divided evenly too; one pass finds the quantiles of all columns. Null ranks first.
+    """
+    share = [i / (1 << bits) for i in range(1, 1 << bits)]
+    quantiles = df.agg(*[F.percentile_approx(c, share).alias(c) for c in columns]).first()
+    key = F.lit(0).cast("bigint")
+    for place, c in enumerate(columns):
+        bounds = sorted(set(quantiles[c] or []))
+        rank = F.lit(0).cast("bigint")
+        if bounds:
+            below = F.aggregate(F.array(*[F.lit(b) for b in bounds]), rank, _count_below(F.col(c)))
+            rank = F.when(F.col(c).isNull(), rank).otherwise(below)
+        for bit in range(bits):
+            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - place))
+    return key
+
+
 def cluster(
     spark: SparkSession,
     path: str,
     schema: StructType,
     dates: DataFrame | None = None,
-    by: str = "timestamp",
+    by: str | list[str] = "timestamp",
     partitions: list[str] = TABLE_PARTITIONS,
+    files: int | None = None,
 ) -> None:
     """Compact the partitions of ``dates`` (a frame with a ``date`` column; all if ``None``) and order
     them by ``by``.
 
     The rows are range-partitioned by partition and ``by``: small partitions share a task, and a
     large one is cut into files with disjoint ranges, so min/max statistics skip files and row groups.
+    Several columns are interleaved, so that a filter on any of them skips files. ``files`` fixes the number
+    of ranges, which otherwise follows from the size of the data.
     """
     table = read_table(spark, path, schema)
     if dates is not None:
         table = restrict(table, dates, ["date"], ["date"])
-    ordered = [*partitions, by]
-    rows = table.select(*schema.names).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
-    _write_partitions(rows, path, partitions)
+    rows, columns = table.select(*schema.names), [by] if isinstance(by, str) else by
+    if len(columns) > 1:
+        rows = rows.withColumn("_place", interleaved(rows, columns))
+        columns = ["_place", *columns]
+    ranged = [*partitions, *columns]
+    dealt = rows.repartitionByRange(*ranged) if files is None else rows.repartitionByRange(files, *ranged)
+    ordered = dealt.sortWithinPartitions(*ranged).drop("_place")
+    _write_partitions(ordered, path, partitions)
 
 
 # Fixed order of the exported columns; those that the bars lack are left out.

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wickline.functions import DAY_US, SECOND_US, as_date, bucket_start, utc_date
 from wickline.operators.bars import ohlcv
@@ -13,7 +15,8 @@ from wickline.operators.dedup import dedup
 from wickline.operators.enrich import to_silver
 from wickline.operators.gaps import FALLBACK_SECONDS, infer_interval
 from wickline.operators.quality import validate
-from wickline.operators.tables import append, replace_partitions, restrict, upsert
+from wickline.operators.rollup import GAP_STATES, stored_interval, update_gaps
+from wickline.operators.tables import publish, replace_partitions, restrict, upsert
 from wickline.schemas import (
     BRONZE,
     BRONZE_PARTITIONS,
@@ -24,7 +27,7 @@ from wickline.schemas import (
     conform,
 )
 from wickline.session import require_utc, staged
-from wickline.sources.raw import read_raw
+from wickline.sources.raw import marked_rows
 from wickline.sources.tables import read_metadata, read_table
 
 
@@ -54,6 +57,17 @@ def to_bronze(rows: DataFrame, batch_date: date | str | None = None) -> DataFram
     return conform(rows.filter("symbol != ''"), BRONZE, ingestion_date=stamp)
 
 
+def fated(rows: DataFrame, batch_date: date | str | None = None) -> DataFrame:
+    """Raw rows marked ``damaged``, in bronze form, with the ``fate`` that :func:`publish` goes by.
+
+    ``stray`` rows lie in no symbol folder; a ``damaged`` one stands for an archive that could not be read.
+    """
+    stamp = F.current_date() if batch_date is None else F.lit(as_date(batch_date))
+    fate = F.when(F.col("damaged"), "damaged").when(F.col("symbol") == "", "stray").otherwise("kept")
+    schema = StructType([*BRONZE.fields, StructField("fate", StringType(), False)])
+    return conform(rows.withColumn("fate", fate), schema, ingestion_date=stamp)
+
+
 def ingest(
     spark: SparkSession,
     raw: str,
@@ -65,15 +79,13 @@ def ingest(
 ) -> dict[str, int]:
     """Append the raw CSV and ZIP files below ``raw`` to the bronze log.
 
-    Returns how much was left out, counted while the rows are written: ``damaged_archives``, and
+    Returns how much was left out, which the footers of the written files tell: ``damaged_archives``, and
     ``rows_without_symbol``, which lie in no symbol folder.
     """
     require_utc(spark)
-    damaged, seen = Observation(), Observation()
-    rows = read_raw(spark, raw, symbols, resolution, date_pattern, damaged)
-    rows = rows.observe(seen, F.count_if(F.col("symbol") == "").alias("n"))
-    append(to_bronze(rows, batch_date), bronze, BRONZE_PARTITIONS)
-    return {"damaged_archives": damaged.get["n"], "rows_without_symbol": seen.get["n"]}
+    rows = marked_rows(spark, raw, symbols, resolution, date_pattern)
+    fates = publish(fated(rows, batch_date), bronze, BRONZE_PARTITIONS, uuid.uuid4().hex)
+    return {"damaged_archives": fates["damaged"], "rows_without_symbol": fates["stray"]}
 
 
 def refine(
@@ -82,6 +94,7 @@ def refine(
     silver: str,
     metadata: str,
     batch_date: date | str | None = None,
+    gaps: str | None = None,
 ) -> int:
     """Upsert a bronze batch (all of bronze without ``batch_date``) into silver.
 
@@ -90,11 +103,18 @@ def refine(
 
     Rows without a key cannot be merged. They are left out, and their number is returned, which takes a
     scan of the two key columns of the batch.
+
+    With ``gaps``, the histogram table there is brought up to date for the partitions that the batch reached,
+    so that :func:`aggregate` need not read candles for their spacing.
     """
     require_utc(spark)
     batch = _of_batch(read_table(spark, bronze, BRONZE), batch_date)
     rows = to_silver(dedup(batch.filter(_HAS_KEY)), read_metadata(spark, metadata))
     upsert(spark, rows, silver, SILVER_KEYS, SILVER, unique=True, resolve=dedup)
+    if gaps is not None:
+        places = batch.filter(_HAS_KEY).select("symbol", utc_date("open_time").alias("date"))
+        reached = restrict(read_table(spark, silver, SILVER), places, TABLE_PARTITIONS, TABLE_PARTITIONS)
+        update_gaps(reached, gaps)
     return batch.filter(~F.coalesce(F.expr(_HAS_KEY), F.lit(False))).count()
 
 
@@ -126,6 +146,7 @@ def aggregate(
     skip_optimize: bool = False,
     fallback_seconds: int = FALLBACK_SECONDS,
     bronze: str | None = None,
+    gaps: str | None = None,
 ) -> int | None:
     """Bring gold up to date with a silver batch; returns the bar width, ``None`` for an empty batch.
 
@@ -133,7 +154,8 @@ def aggregate(
     can have reached are read from there, and only those of silver are opened.
 
     The bar width follows the spacing of all silver rows in the partitions that the batch touches, unless
-    ``window_seconds`` is given. Unless ``skip_optimize``, the rewritten partitions are ordered by
+    ``window_seconds`` is given. With ``gaps``, the histogram table that :func:`refine` keeps, it is found there.
+    Unless ``skip_optimize``, the rewritten partitions are ordered by
     ``timestamp`` in the same write.
     """
     require_utc(spark)
@@ -149,8 +171,13 @@ def aggregate(
             seconds = window_seconds
         else:
             touched = batch.select("symbol", utc_date("open_time").alias("date"))
-            whole = restrict(table, touched, TABLE_PARTITIONS, TABLE_PARTITIONS).filter("open_time IS NOT NULL")
-            seconds = infer_interval(whole, fallback_seconds)
+            if gaps is None:
+                whole = restrict(table, touched, TABLE_PARTITIONS, TABLE_PARTITIONS).filter("open_time IS NOT NULL")
+                seconds = infer_interval(whole, fallback_seconds)
+            else:
+                states = read_table(spark, gaps, GAP_STATES)
+                known = stored_interval(restrict(states, touched, TABLE_PARTITIONS, TABLE_PARTITIONS)).first()
+                seconds = fallback_seconds if known is None else known.interval_seconds
         bars = rebuilt_bars(table, batch, seconds * SECOND_US)
         replace_partitions(bars, gold, GOLD, order=None if skip_optimize else ["timestamp"])
     return seconds
@@ -171,14 +198,17 @@ def run_pipeline(
     window_seconds: int | None = None,
     skip_validation: bool = False,
     skip_optimize: bool = False,
+    gaps: str | None = None,
     **scope,
 ) -> date:
     """Ingest, refine and aggregate one batch (default: yesterday, UTC); returns its date.
 
+    ``gaps`` names the histogram table of candle gaps that the last two steps share.
+
     ``scope`` may narrow the raw files: ``symbols``, ``resolution``, ``date_pattern``.
     """
     day = yesterday() if batch_date is None else as_date(batch_date)
     ingest(spark, raw, bronze, day, **scope)
-    refine(spark, bronze, silver, metadata, day)
-    aggregate(spark, silver, gold, day, window_seconds, skip_validation, skip_optimize, bronze=bronze)
+    refine(spark, bronze, silver, metadata, day, gaps)
+    aggregate(spark, silver, gold, day, window_seconds, skip_validation, skip_optimize, bronze=bronze, gaps=gaps)
     return day

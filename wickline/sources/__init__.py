@@ -1,3 +1,4 @@
+from wickline.sources.archives import register_archives, write_archives
 from wickline.sources.raw import read_kline_archives, read_klines, read_raw, unpack_archives
 from wickline.sources.tables import (
     newest_date,
@@ -18,5 +19,7 @@ __all__ = [
     "register_views",
     "symbols",
     "table_exists",
+    "register_archives",
     "unpack_archives",
+    "write_archives",
 ]

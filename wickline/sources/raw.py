@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wickline.schemas import RAW
 from wickline.session import hadoop_path
+from wickline.sources.archives import ARCHIVE_FORMAT, register_archives
 
 _BLOCK_CHARS = 1 << 20
 _SYMBOL = "(?:symbol=)?([^/]+)/"
@@ -35,7 +36,7 @@ def _below(spark: SparkSession, root: str) -> str:
     return f"^(?:[^:/]+:(?://[^/]*)?)?{re.escape(full)}/(?:raw/)?"
 
 
-def _in_scope(
+def in_scope(
     df: DataFrame, root: str, symbols: list[str] | None, resolution: str | None
 ) -> DataFrame:
     """Derive ``symbol`` from ``path`` and keep the wanted symbols and resolution."""
@@ -48,10 +49,21 @@ def _in_scope(
     return df
 
 
-def _file_glob(date_pattern: str | None, suffix: str) -> str:
+def file_glob(date_pattern: str | None, suffix: str) -> str:
     return f"*{date_pattern}*{suffix}" if date_pattern else f"*{suffix}"
 
 
+def csv_rows(scan: DataFrame) -> DataFrame:
+    """A scan or stream of CSV files with the decoded ``path`` of each row's file."""
+    return scan.withColumn("path", _decoded(F.col("_metadata.file_path")))
+
+
+def file_stems(files: DataFrame) -> DataFrame:
+    """``files`` with ``stem``: their ``path`` without scheme and extension, equal for an archive and its CSV."""
+    bare = F.regexp_replace("path", r"^[^:/]+:(?://[^/]*)?(?=/)", "")
+    return files.withColumn("stem", F.regexp_replace(bare, r"\.[^./]+$", ""))
+
+
 def _folders(
     spark: SparkSession, root: str, symbols: list[str] | None, resolution: str | None
 ) -> list[str] | str:
@@ -74,21 +86,27 @@ def read_klines(
 
     A malformed field becomes null, surplus fields are dropped.
     """
-    rows = (
+    rows = csv_rows(
         spark.read.schema(RAW)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _file_glob(date_pattern, ".csv"))
+        .option("pathGlobFilter", file_glob(date_pattern, ".csv"))
         .csv(_folders(spark, root, symbols, resolution))
-        .withColumn("path", _decoded(F.col("_metadata.file_path")))
     )
-    return _in_scope(rows, root, symbols, resolution).drop("path")
+    return in_scope(rows, root, symbols, resolution).drop("path")
 
 
 def unpack_archives(archives: DataFrame, damaged: Observation | None = None) -> DataFrame:
     """Candles inside ``archives`` (columns ``path, content, symbol``); damaged archives give no rows.
 
-    ``damaged`` observes their number as ``n`` when the rows are first computed. An archive is tested in
-    a first pass, so that none of its lines is handed on before all of it is known to be sound, and none
+    ``damaged`` observes their number as ``n`` when the rows are first computed.
+    """
+    return _parsed(archive_blocks(archives), damaged)
+
+
+def archive_blocks(archives: DataFrame) -> DataFrame:
+    """``(symbol, block)``: text of the CSV files inside ``archives`` in blocks of lines, a null for a damaged one.
+
+    An archive is tested in a first pass, so that none of its lines is handed on before all of it is known to be sound, and none
     of its text need be held.
 
     A ZIP cannot be split, so one archive is one record: a task holds one archive at a time and hands
@@ -119,22 +137,31 @@ def unpack_archives(archives: DataFrame, damaged: Observation | None = None) ->
                 yield row.symbol, block
 
     text = archives.select("symbol", "content").rdd.mapPartitions(blocks)
-    texts = text.toDF("symbol STRING, block STRING")
+    return text.toDF("symbol STRING, block STRING")
+
+
+def _parsed(texts: DataFrame, damaged: Observation | None) -> DataFrame:
+    """Candles of blocks of lines; a null block stands for what could not be read."""
     if damaged is not None:
         texts = texts.observe(damaged, F.count_if(F.col("block").isNull()).alias("n"))
+    return parsed_lines(texts).filter("NOT damaged").drop("damaged")
+
+
+def parsed_lines(texts: DataFrame) -> DataFrame:
+    """Candles of blocks of lines with their ``symbol``; a null block gives one row, marked ``damaged``."""
     lines = texts.select(
-        "symbol", F.explode(F.split("block", "\\r?\\n")).alias("line")
+        "symbol", F.col("block").isNull().alias("damaged"), F.explode_outer(F.split("block", "\\r?\\n")).alias("line")
     )
-    parsed = lines.filter("line != ''").select(F.from_csv("line", RAW.toDDL()).alias("k"), "symbol")
-    return parsed.select("k.*", "symbol")
+    parsed = lines.filter("damaged OR line != ''").select(F.from_csv("line", RAW.toDDL()).alias("k"), "symbol", "damaged")
+    return parsed.select("k.*", "symbol", "damaged")
 
 
 def _archives(
     spark: SparkSession,
     root: str,
-    symbols: list[str] | None,
-    resolution: str | None,
-    date_pattern: str | None,
+    symbols: list[str] | None = None,
+    resolution: str | None = None,
+    date_pattern: str | None = None,
     suffix: str = ".zip",
     only: list[str] | None = None,
 ) -> DataFrame:
@@ -145,11 +172,11 @@ def _archives(
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _file_glob(date_pattern, suffix))
+        .option("pathGlobFilter", file_glob(date_pattern, suffix))
         .load(_folders(spark, root, symbols, resolution) if only is None else only)
     )
     stem = F.regexp_replace("path", r"\.[^./]+$", "")
-    return _in_scope(files, root, symbols, resolution).withColumn("stem", stem)
+    return in_scope(files, root, symbols, resolution).withColumn("stem", stem)
 
 
 def _literal(path: str) -> str:
@@ -164,31 +191,53 @@ def read_kline_archives(
     resolution: str | None = None,
     date_pattern: str | None = None,
     damaged: Observation | None = None,
+    by_member: bool = False,
 ) -> DataFrame:
-    """All candles inside the ZIP archives below ``root``, as :func:`read_klines` gives them."""
+    """All candles inside the ZIP archives below ``root``, as :func:`read_klines` gives them.
+
+    With ``by_member`` the files inside an archive are read by several tasks (see :mod:`wickline.sources.archives`):
+    a damaged one gives no rows and counts as such, and the others of its archive are read.
+    """
+    if by_member:
+        register_archives(spark)
+        scan = spark.read.format(ARCHIVE_FORMAT).option("name", file_glob(date_pattern, ".zip"))
+        blocks = in_scope(scan.load(root), root, symbols, resolution).select("symbol", "block")
+        return _parsed(blocks, damaged)
     return unpack_archives(_archives(spark, root, symbols, resolution, date_pattern), damaged)
 
 
-def read_raw(
+def marked_rows(
     spark: SparkSession,
     root: str,
     symbols: list[str] | None = None,
     resolution: str | None = None,
     date_pattern: str | None = None,
-    damaged: Observation | None = None,
 ) -> DataFrame:
-    """CSV files and ZIP archives together; an archive that lies extracted beside itself counts once.
+    """The rows of :func:`read_raw` with ``damaged``, which marks the one row, all null, of a damaged archive.
 
-    Which archives those are is settled on paths alone, before any is opened, so that contents pass through
-    no shuffle. The paths left come to the driver, which lists them for the scan in any case.
+    Which archives lie extracted beside themselves is settled on paths alone, before any is opened, so that
+    contents pass through no shuffle. The paths left come to the driver, which lists them for the scan in any case.
     """
     scope = (spark, root, symbols, resolution, date_pattern)
     extracted = _archives(*scope, suffix=".csv").select("stem")
     packed = _archives(*scope).select("stem", "path").join(extracted, "stem", "left_anti")
     only = [_literal(row.path) for row in packed.select("path").collect()]
-    rows = read_klines(*scope)
+    rows = read_klines(*scope).withColumn("damaged", F.lit(False))
     if not only:
-        # An observation needs a plan to run in, so that it also says "none".
-        none = F.count_if(F.lit(False)).alias("n")
-        return rows if damaged is None else rows.observe(damaged, none)
-    return rows.unionByName(unpack_archives(_archives(*scope, only=only), damaged))
+        return rows
+    return rows.unionByName(parsed_lines(archive_blocks(_archives(*scope, only=only))))
+
+
+def read_raw(
+    spark: SparkSession,
+    root: str,
+    symbols: list[str] | None = None,
+    resolution: str | None = None,
+    date_pattern: str | None = None,
+    damaged: Observation | None = None,
+) -> DataFrame:
+    """CSV files and ZIP archives together; an archive that lies extracted beside itself counts once."""
+    rows = marked_rows(spark, root, symbols, resolution, date_pattern)
+    if damaged is not None:
+        rows = rows.observe(damaged, F.count_if("damaged").alias("n"))
+    return rows.filter("NOT damaged").drop("damaged")
