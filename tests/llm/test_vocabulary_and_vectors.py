@@ -121,7 +121,7 @@ def test_near_duplicates_equal_brute_force(spark, edited, monkeypatch, block):
 
 def test_links_that_stars_miss_are_found(spark, monkeypatch):
     """One bucket for all: the smallest member is like none, and the others form several groups."""
-    monkeypatch.setattr(minhash, "band_keys", lambda hashes: np.arange(minhash.BANDS))
+    monkeypatch.setattr(minhash, "band_keys", lambda bins: np.arange(minhash.BANDS))
     rand = random.Random(3)
     rows = [(1, "not like any other text here")]
     for group in range(6):
@@ -140,7 +140,7 @@ def test_buckets_are_stars(spark, monkeypatch):
     seen = []
     real = minhash.star_links
     monkeypatch.setattr(minhash, "star_links", lambda texts, stars, n: seen.append(stars.count()) or real(texts, stars, n))
-    monkeypatch.setattr(minhash, "band_keys", lambda hashes: np.arange(minhash.BANDS))
+    monkeypatch.setattr(minhash, "band_keys", lambda bins: np.arange(minhash.BANDS))
     base = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*base[:i], "edit", *base[i + 1 :]])) for i in range(120)]
     assert {c for _, _, c in _minhash(spark, rows)} == {0}

@@ -5,7 +5,10 @@ fixed random order of bins reaches first, so that equal bins of two texts stay e
 their Jaccard similarity. Bands of ``ROWS`` bins are bucket keys. A bucket is compared as a star: each member
 with the smallest one, so a bucket of n members costs n - 1 pairs. Links are confirmed on the full sets. What
 a star may miss, two members alike to each other but not to the centre, is left only in buckets whose members
-then still lie in several components; these are compared inside, across components.
+then still lie in several components; these are compared inside, across components. Before texts are moved,
+one byte of each bin tells which members can be alike at all.
+
+Joins that move texts or bands are merge joins at every size, as no side of theirs has a bound.
 """
 
 from __future__ import annotations
@@ -21,8 +24,11 @@ from wickline.llm.common import stage
 from wickline.llm.components import components
 from wickline.llm.packing import mixed
 
-#: 32 bands of 5 bins: a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^5)^32 = 3e-6.
-BANDS, ROWS = 32, 5
+#: 24 bands of 4 bins: a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^4)^24 = 3e-6.
+BANDS, ROWS = 24, 4
+#: Bins whose bytes must agree before two texts are compared. Of 96, a pair of similarity 0.8 has 77 on average,
+#: with a standard deviation of 3.9; fewer than 48 has a probability below 1e-11.
+AGREE = BANDS * ROWS // 2
 #: Words of a shingle, and the similarity in percent from which two sets are linked.
 SHINGLE, SIMILAR = 4, 80
 #: Members of a star, or of a block of a bucket, that one task compares at once.
@@ -74,8 +80,8 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return hashes[at[donor]]
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    rows = signature(hashes).reshape(BANDS, ROWS)
+def band_keys(bins: np.ndarray) -> np.ndarray:
+    rows = bins.reshape(BANDS, ROWS)
     key = np.arange(BANDS, dtype=np.uint64)
     for i in range(ROWS):
         key = key * _STEP + rows[:, i]
@@ -83,7 +89,7 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(text: Column, n: int = SHINGLE) -> Column:
-    """A struct of the set's size ``n``, 128 bits ``s1, s2`` that stand for the set, and its ``bands``."""
+    """A struct of the set's size ``n``, 128 bits ``s1, s2`` that stand for the set, its ``bands``, and a byte of each bin."""
 
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -95,12 +101,28 @@ def sketches(text: Column, n: int = SHINGLE) -> Column:
                 found = shingles(value, known, n)
                 if len(found):
                     s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
-                    rows.append((len(found), int(s1), int(s2), band_keys(found)))
+                    bins = signature(found)
+                    rows.append((len(found), int(s1), int(s2), band_keys(bins), bins.astype(np.uint8).tobytes()))
                 else:
-                    rows.append((0, 0, 0, None))
-            yield pd.DataFrame(rows, columns=["n", "s1", "s2", "bands"])
+                    rows.append((0, 0, 0, None, None))
+            yield pd.DataFrame(rows, columns=["n", "s1", "s2", "bands", "bytes"])
+
+    return F.pandas_udf(sketch, "n BIGINT, s1 BIGINT, s2 BIGINT, bands ARRAY<BIGINT>, bytes BINARY")(text)
+
+
+def _bytes(values: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+
 
-    return F.pandas_udf(sketch, "n BIGINT, s1 BIGINT, s2 BIGINT, bands ARRAY<BIGINT>")(text)
+def may_be_alike(a: Column, b: Column) -> Column:
+    """Whether two signatures agree in ``AGREE`` bytes or more."""
+
+    def agree(left: pd.Series, right: pd.Series) -> pd.Series:
+        if not len(left):
+            return pd.Series([], dtype=bool)
+        return pd.Series((_bytes(left) == _bytes(right)).sum(1) >= AGREE)
+
+    return F.pandas_udf(agree, "boolean")(a, b)
 
 
 def alike(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -164,7 +186,7 @@ def star_links(texts: DataFrame, stars: DataFrame, n: int = SHINGLE) -> DataFram
         "center", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)).alias("slot"), F.lit(0).alias("role"), F.col("center").alias("cid")
     )
     keys = ["center", "slot"]
-    dealt = members.unionByName(centres).join(texts, "cid").repartition(*keys).sortWithinPartitions(*keys, "role", "cid")
+    dealt = members.unionByName(centres).join(texts.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "role", "cid")
     return dealt.select(*keys, "cid", "text").mapInPandas(_in_runs(_star(n), keys), "u BIGINT, v BIGINT")
 
 
@@ -180,6 +202,8 @@ def _across(n: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         sizes = np.array([len(s) for s in sets])
         own, (low, high) = rows["block"].to_numpy(), rows[["lo", "hi"]].iloc[0]
         right = np.flatnonzero(own == high)
+        if not len(right):
+            return pd.DataFrame({"u": [], "v": []}, dtype=np.int64)
         universe, place = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum(sizes)
         starts = ends - sizes
@@ -203,26 +227,50 @@ def _across(n: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return solve
 
 
-def bucket_links(texts: DataFrame, members: DataFrame, roots: DataFrame, n: int = SHINGLE) -> DataFrame:
+def _partners(rows: pd.DataFrame) -> pd.DataFrame:
+    """Members of two blocks of a bucket that may be alike to one of another component."""
+    sketches, labels, sizes = _bytes(rows["bytes"]), rows["label"].to_numpy(), rows["n"].to_numpy()
+    own, (low, high) = rows["block"].to_numpy(), rows[["lo", "hi"]].iloc[0]
+    left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    found = np.zeros(len(rows), dtype=bool)
+    for i in left:
+        other = right[labels[right] != labels[i]]
+        other = other[100 * np.minimum(sizes[other], sizes[i]) >= SIMILAR * np.maximum(sizes[other], sizes[i])]
+        other = other[(sketches[other] == sketches[i]).sum(1) >= AGREE]
+        found[other] = True
+        found[i] |= len(other) > 0
+    return rows.loc[found, ["key", "cid", "label"]]
+
+
+def _in_blocks(members: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows of each bucket of two or more components, once for each pair of blocks that they take part in.
+
+    Above ``BLOCK`` members a bucket is dealt in blocks, and each pair of blocks is compared in a task.
+    """
+    several = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("m"))
+    several = several.filter("a <> b").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    rows = members.join(several, "key").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("o")
+    dealt = rows.select(*members.columns, "block", other).select(
+        *members.columns, "block", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi")
+    )
+    return dealt, ["key", "lo", "hi"]
+
+
+def bucket_links(texts: DataFrame, members: DataFrame, sketched: DataFrame, roots: DataFrame, n: int = SHINGLE) -> DataFrame:
     """Links ``(u, v)`` between members ``(key, cid)`` of a bucket that ``roots`` has in different components.
 
-    Only buckets with members of two or more components are looked into. Above ``BLOCK`` members a bucket is
-    compared block against block, each pair of blocks in a task that returns a forest of links.
+    The signatures ``(cid, n, bytes)`` of ``sketched`` first leave only members that may have a link to another
+    component. Their texts are compared; each pair of blocks gives a forest of links.
     """
     labelled = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "key", "cid", F.coalesce("root", "cid").alias("label")
     )
-    several = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("m"))
-    several = several.filter("a <> b AND m > 2").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    rows = labelled.join(several, "key").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("o")
-    dealt = rows.select("key", "cid", "label", "block", other).select(
-        "key", "cid", "label", "block", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi")
-    )
-    keys = ["key", "lo", "hi"]
-    both = F.min("block").alias("a"), F.max("block").alias("b")
-    whole = dealt.groupBy(*keys).agg(*both).filter("a = lo AND b = hi").select(*keys)  # hashing may leave a block empty
-    dealt = dealt.join(whole, keys).join(texts, "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
+    dealt, keys = _in_blocks(labelled)
+    dealt = dealt.join(sketched, "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
+    found = dealt.mapInPandas(_in_runs(_partners, keys), "key BIGINT, cid BIGINT, label BIGINT").distinct()
+    dealt, keys = _in_blocks(stage(found, "possible-links"))
+    dealt = dealt.join(texts.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
     return dealt.mapInPandas(_in_runs(_across(n), keys), "u BIGINT, v BIGINT").distinct()
 
 
@@ -243,22 +291,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     texts = marked.filter("n > 0").select(F.col("row").alias("cid"), "text")
     classes = stage(
-        marked.filter("n > 0").groupBy("s1", "s2", "n", "bands").agg(F.min("doc_id").alias("first"), F.min("row").alias("cid")),
+        marked.filter("n > 0")
+        .groupBy("s1", "s2", "n", "bands", "bytes")
+        .agg(F.min("doc_id").alias("first"), F.min("row").alias("cid")),
         "set-classes",
     )
-    keyed = classes.select("cid", "n", F.explode("bands").alias("key"))
+    sketched = classes.select("cid", "n", "bytes")
+    keyed = classes.select("cid", F.explode("bands").alias("key"))
+    buckets = keyed.groupBy("key").agg(F.min("cid").alias("center"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("cid")).alias("all"))
     # Buckets with the same members are taken once.
-    least = F.min(F.struct("cid", "n")).alias("least")
-    same = [F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("y")]
-    buckets = keyed.groupBy("key").agg(least, F.count("*").alias("m"), *same).filter("m > 1")
-    buckets = buckets.groupBy("least", "m", "x", "y").agg(F.min("key").alias("key"))
-    chosen = buckets.select("key", F.col("least.cid").alias("center"), F.col("least.n").alias("center_n"))
-    members = stage(keyed.join(chosen, "key"), "bucket-members")
+    chosen = buckets.filter("m > 1").groupBy("center", "m", "all").agg(F.min("key").alias("key")).select("key", "center")
+    members = stage(keyed.hint("merge").join(chosen, "key"), "bucket-members")
+    pairs = members.filter("cid <> center").select("center", "cid").distinct()
+    of_center = sketched.select(F.col("cid").alias("center"), F.col("n").alias("center_n"), F.col("bytes").alias("center_bytes"))
     fits = 100 * F.least("n", "center_n") >= SIMILAR * F.greatest("n", "center_n")
-    stars = stage(members.filter((F.col("cid") != F.col("center")) & fits).select("center", "cid").distinct(), "stars")
+    pairs = pairs.join(sketched, "cid").join(of_center, "center").filter(fits).filter(may_be_alike(F.col("bytes"), F.col("center_bytes")))
+    stars = stage(pairs.select("center", "cid"), "stars")
     links = stage(star_links(texts, stars, n), "star-links")
     roots = components(links, "minhash-stars")
-    more = stage(bucket_links(texts, members.select("key", "cid"), roots, n), "bucket-links")
+    more = stage(bucket_links(texts, members.select("key", "cid"), sketched, roots, n), "bucket-links")
     if not more.isEmpty():
         roots = components(links.unionByName(more), "minhash")
     named = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
