@@ -346,8 +346,8 @@ def test_starts_equal_definition():
                 y[:at] = y[1 : at + 1]
             if rng.random() < 0.3:
                 x[: int(rng.integers(0, 20))] = 0
-            odd = [compact_windows._repeats(r[None]) for r in (x, y)]
-            got = compact_windows.verify(x[None], y[None], *odd)
+            both = np.stack([x, y])
+            got = compact_windows.verify(both, np.array([0]), np.array([1]), compact_windows._repeats(both))
             sets = [[set(r[f : f + 46].tolist()) for f in range(46)] for r in (x, y)]
             like = np.array([[0 not in p | q and 5 * len(p & q) >= 4 * len(p | q) for q in sets[1]] for p in sets[0]])
             for bits, want in zip(got, (like.any(axis=1), like.any(axis=0)), strict=True):
@@ -356,6 +356,26 @@ def test_starts_equal_definition():
     assert checked > 40
 
 
+def test_pairs_of_rows_with_repeats_are_compared_in_batches_as_one_by_one():
+    rng = np.random.default_rng(14)
+    rows = rng.integers(1, 40, (40, 91)).astype(np.uint32)
+    for k in range(1, 20):
+        rows[k] = rows[0]
+        rows[k][rng.integers(0, 91, k)] = rng.integers(1, 40, k)
+    rows[20] = 7
+    rows[21, :30] = 0
+    i, j = np.triu_indices(40, 1)
+    odd = compact_windows._repeats(rows)
+    together = compact_windows.verify(rows, i, j, odd)
+    for k in range(0, len(i), 7):
+        alone = compact_windows.verify(rows, i[k : k + 1], j[k : k + 1], odd)
+        assert [int(b[0]) for b in alone] == [int(b[k]) for b in together]
+    sets = [[set(r[f : f + 46].tolist()) for f in range(46)] for r in rows]
+    for k in rng.choice(len(i), 60, replace=False).tolist() + [0, 1, 2]:
+        near = [any(0 not in p | q and 5 * len(p & q) >= 4 * len(p | q) for q in sets[j[k]]) for p in sets[i[k]]]
+        assert int(together[0][k]) == sum(1 << f for f in range(46) if near[f])
+
+
 def test_passages_in_blocks_equal_those_in_one(spark):
     rng = np.random.default_rng(13)
     shared, rows = _random_words(rng, 60), []

@@ -182,26 +182,25 @@ def _bits(starts: np.ndarray) -> np.ndarray:
     return (starts.astype(np.uint64) << np.arange(PASSAGE, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def verify(a: np.ndarray, b: np.ndarray, odd_a: np.ndarray, odd_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of two matrices, as bits: all first columns of passages with a near-duplicate in the other row.
+def verify(rows: np.ndarray, i: np.ndarray, j: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of rows, as bits: all first columns of passages with a near-duplicate in the other row.
 
     Every passage around the centre of one row is compared with every one of the other by its exact
-    Jaccard similarity. ``odd_a`` and ``odd_b`` say which rows hold a shingle more than once.
+    Jaccard similarity. ``odd`` says which rows hold a shingle more than once.
     """
-    out = np.zeros(len(a), dtype=np.uint64), np.zeros(len(a), dtype=np.uint64)
-    odd = odd_a | odd_b
-    plain = np.flatnonzero(~odd)
-    for at in range(0, len(plain), 512):
-        block = plain[at : at + 512]
-        for to, bits in zip(out, _plain(a[block], b[block]), strict=True):
-            to[block] = bits
-    for k in np.flatnonzero(odd):
-        out[0][k], out[1][k] = _sets(a[k], b[k])
+    out = np.zeros(len(i), dtype=np.uint64), np.zeros(len(i), dtype=np.uint64)
+    repeats = odd[i] | odd[j]
+    for which, compare, size in ((np.flatnonzero(~repeats), _plain, 512), (np.flatnonzero(repeats), _sets, 4096)):
+        for at in range(0, len(which), size):
+            block = which[at : at + size]
+            for to, bits in zip(out, compare(rows, i[block], j[block]), strict=True):
+                to[block] = bits
     return out
 
 
-def _plain(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _plain(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``verify`` for rows without repeats: shingles common to both rows are counted for all pairs of passages."""
+    x, y = rows[i], rows[j]
     n, width, columns = len(x), x.shape[1], np.arange(x.shape[1], dtype=np.uint64)
     tagged = np.concatenate([x, y], axis=1).astype(np.uint64) << np.uint64(8)
     tagged[:, :width] |= columns
@@ -228,20 +227,66 @@ def _plain(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bits
 
 
-def _sets(x: np.ndarray, y: np.ndarray) -> tuple[np.uint64, np.uint64]:
-    """``verify`` for one pair of any rows."""
-    values, where = np.unique(np.concatenate([x, y]), return_inverse=True)
-    held = []
-    for own in (where[: len(x)], where[len(x) :]):
-        column = np.arange(len(own))
-        edge = np.zeros((len(values), PASSAGE + 1), dtype=np.int32)
-        np.add.at(edge, (own, np.maximum(column - _REACH, 0)), 1)
-        np.add.at(edge, (own, np.minimum(column, _REACH) + 1), -1)
-        held.append((edge.cumsum(axis=1)[values != 0, :-1] > 0).astype(np.float32))
-    common = held[0].T @ held[1]
-    total = held[0].sum(axis=0)[:, None] + held[1].sum(axis=0)[None, :]
-    good = (common * (1 + SIMILARITY) >= SIMILARITY * total - 1e-3) & _whole(x[None])[0][:, None] & _whole(y[None])[0][None, :]
-    return _bits(good.any(axis=1)[None])[0], _bits(good.any(axis=0)[None])[0]
+def _firsts(rows: np.ndarray) -> np.ndarray:
+    """For each column the first start whose passage holds no earlier occurrence of its shingle.
+
+    A passage that starts from there up to the column holds the shingle with this as its first occurrence,
+    so that each shingle of a passage is counted once.
+    """
+    n, width = rows.shape
+    tagged = np.sort((rows.astype(np.uint64) << np.uint64(8)) | np.arange(width, dtype=np.uint64), axis=1)
+    value, column = tagged >> np.uint64(8), (tagged & np.uint64(255)).astype(np.int64)
+    before = np.full((n, width), -1, dtype=np.int64)
+    before[:, 1:] = np.where(value[:, 1:] == value[:, :-1], column[:, :-1], -1)
+    out = np.empty((n, width), dtype=np.int64)
+    np.put_along_axis(out, column, np.maximum(before + 1, column - _REACH), axis=1)
+    return out
+
+
+def _distinct(rows: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Number of distinct shingles of the passage at each start."""
+    row, at = np.nonzero((rows != 0) & (firsts <= _REACH))
+    low, side = firsts[row, at], PASSAGE + 1
+    edge = np.bincount(row * side + low, minlength=len(rows) * side)
+    edge -= np.bincount(row * side + np.minimum(at, _REACH) + 1, minlength=len(rows) * side)
+    return edge.reshape(-1, side).cumsum(axis=1)[:, :-1]
+
+
+def _sets(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``verify`` for rows that may hold a shingle more than once.
+
+    Rows with fewer distinct shingles in common than any near-duplicate passages of theirs are left out;
+    for the others the shingles common to all pairs of passages are counted by rectangles of starts.
+    """
+    bits = np.zeros(len(a), dtype=np.uint64), np.zeros(len(a), dtype=np.uint64)
+    own, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    rows, a, b = rows[own], where[: len(a)], where[len(a) :]
+    low, whole = _firsts(rows), _whole(rows)
+    distinct = _distinct(rows, low).astype(np.int16)
+    least = np.where(whole, distinct, 2 * PASSAGE).min(axis=1)
+    once = np.sort(rows, axis=1)
+    once[:, 1:][once[:, 1:] == once[:, :-1]] = 0
+    both = np.sort(np.concatenate([once[a], once[b]], axis=1), axis=1)
+    shared = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != 0)).sum(axis=1)
+    some = np.flatnonzero(5 * shared >= 4 * np.maximum(least[a], least[b]))
+    side = PASSAGE + 1
+    for at in range(0, len(some), 128):
+        part = some[at : at + 128]
+        x, y = a[part], b[part]
+        pair, i, j = np.nonzero((rows[x][:, :, None] == rows[y][:, None, :]) & (rows[x] != 0)[:, :, None])
+        f, g = low[x[pair], i], low[y[pair], j]
+        inside = (f <= _REACH) & (g <= _REACH)
+        pair, i, j, f, g = (v[inside] for v in (pair, i, j, f, g))
+        edge = np.zeros(len(part) * side * side, dtype=np.int64)
+        for left, sign in ((f, 1), (np.minimum(i, _REACH) + 1, -1)):
+            for right, other in ((g, 1), (np.minimum(j, _REACH) + 1, -1)):
+                edge += sign * other * np.bincount((pair * side + left) * side + right, minlength=len(edge))
+        # Sums of edges may pass 127 on the way.
+        common = edge.astype(np.int16).reshape(-1, side, side).cumsum(axis=1, dtype=np.int16).cumsum(axis=2, dtype=np.int16)
+        total = distinct[x][:, :, None] + distinct[y][:, None, :]
+        good = (9 * common[:, :-1, :-1] >= 4 * total) & whole[x][:, :, None] & whole[y][:, None, :]
+        bits[0][part], bits[1][part] = _bits(good.any(axis=2)), _bits(good.any(axis=1))
+    return bits
 
 
 def _possible(rows: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -312,8 +357,7 @@ def _meet(rank: np.ndarray, rows: np.ndarray, side: np.ndarray | None) -> tuple[
         some = x[at[~done[new]]]
         done[new] = True
         for part in np.array_split(some, max(1, len(some) // 4096)):
-            like = np.broadcast_to(rows[y], (len(part), rows.shape[1]))
-            bits[kind[part]], _ = verify(rows[part], like, odd[part], np.repeat(odd[y], len(part)))
+            bits[kind[part]], _ = verify(rows, part, np.full(len(part), y), odd)
         hit = x[bits[kind[x]] != 0]
         group.add(y, hit, bits[kind[hit]])
     return group.found, group.links
@@ -342,7 +386,7 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         odd = _repeats(rows) if len(i) else np.zeros(len(rows), dtype=bool)
         for at in range(0, len(late), 4096):
             x, y = late[at : at + 4096], early[at : at + 4096]
-            bits, _ = verify(rows[x], rows[y], odd[x], odd[y])
+            bits, _ = verify(rows, x, y, odd)
             np.bitwise_or.at(found, x, bits)
             links += zip(x[bits != 0].tolist(), y[bits != 0].tolist(), strict=True)
         for lo, n in zip(head[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
