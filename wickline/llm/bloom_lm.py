@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -34,16 +35,14 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
-class _Ids(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 @dataclass
 class Dictionary:
-    """Frequent words with exact counts, and the totals of the training tokens."""
+    """Frequent words with exact counts, and the totals of the training tokens.
 
-    ids: _Ids
+    Broadcast values are pickled without their classes, so workers get the fields alone (``vars``).
+    """
+
+    ids: dict[bytes, int]
     counts: np.ndarray
     n_tokens: int
     n_distinct: int
@@ -56,7 +55,8 @@ class Dictionary:
 class Filter:
     """Events ``(bigram, 1) ... (bigram, q)`` of a block's bigrams, ``q`` growing with the logarithm of the count."""
 
-    shards: list[np.ndarray]
+    #: The bits of all shards, one shard after another, and the bits of a shard.
+    shards: np.ndarray
     bits: int
 
     def quantised(self, keys: np.ndarray) -> np.ndarray:
@@ -64,7 +64,7 @@ class Filter:
         q, left, j = np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), 1
         if not self.bits:
             return q
-        joined, size = self._joined(), np.uint64(self.bits)
+        joined, size = self.shards, np.uint64(self.bits)
         base = (shard_of(keys) * np.uint64(self.bits)).astype(np.uint64)
         while len(left):
             first, second = mixed(keys[left], 2 * j), mixed(keys[left], 2 * j + 1) | np.uint64(1)
@@ -77,11 +77,6 @@ class Filter:
             j += 1
         return q
 
-    def _joined(self) -> np.ndarray:
-        if not hasattr(self, "_all"):
-            self._all = np.concatenate(self.shards)
-        return self._all
-
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts rounded down to the quantisation, so that a history's bigrams never exceed it."""
         q = self.quantised(keys)
@@ -105,7 +100,7 @@ class Blocks:
     def load(self, number: int) -> Filter:
         """The filter of one block, each shard built in a task of its own."""
         bits = self.bits
-        shards = [np.zeros(bits // 8, dtype=np.uint8) for _ in range(SHARDS)]
+        shards = np.zeros((SHARDS, bits // 8), dtype=np.uint8)
 
         def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             keys = np.concatenate([unpack_sorted(b) for b in frame["grams"]])
@@ -116,7 +111,7 @@ class Blocks:
             own = self.grams.filter(_block(F.col("part"), self.runs) == number)
             for row in own.groupBy("shard").applyInPandas(build, "shard BIGINT, bits BINARY").collect():
                 shards[row.shard] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-        return Filter(shards, bits)
+        return Filter(shards.reshape(-1), bits)
 
 
 def _block(part: Column, runs: int) -> Column:
@@ -177,15 +172,15 @@ def dictionary(words: DataFrame) -> Dictionary:
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent = words.filter((F.col("c") * (1 << WORD_BITS) >= n) & (F.length("word") <= WORD_BYTES)).toPandas()
     frequent = frequent.sort_values("word", ignore_index=True)
-    ids = _Ids(zip(map(bytes, frequent["word"]), range(len(frequent)), strict=True))
+    ids = dict(zip(map(bytes, frequent["word"]), range(len(frequent)), strict=True))
     return Dictionary(ids, frequent["c"].to_numpy(np.int64), int(n), int(v))
 
 
-def _batch_ids(texts, known: _Ids) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+def _batch_ids(texts, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     """Ids of all texts' tokens end to end, the number of tokens of each text, and the tokens."""
     parts = [tokens(t) for t in texts]
     lengths = np.array([len(p) for p in parts], dtype=np.int64)
-    ids = np.concatenate([np.fromiter(map(known.__getitem__, p), np.int64, len(p)) for p in parts])
+    ids = np.concatenate([np.fromiter(map(known.get, p, repeat(-1)), np.int64, len(p)) for p in parts])
     return ids, lengths, parts
 
 
@@ -203,11 +198,11 @@ def count_grams(train: DataFrame, shared, block_events: int) -> Blocks:
     Events are at most as many as tokens, so ``SHARDS`` groups for each ``block_events`` tokens fit a block;
     as many of such runs as their events allow go to one block.
     """
-    runs_in_all = max(1, -(-shared.value.n_tokens // block_events))
+    runs_in_all = max(1, -(-shared.value["n_tokens"] // block_events))
     parts = SHARDS * runs_in_all
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value.ids
+        known = shared.value["ids"]
         end, held, size = known[END], [], 0
 
         def flush() -> pd.DataFrame:
@@ -271,7 +266,7 @@ def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], c
     """``columns`` of the rows, what dictionary and first block say of each text, and the other words."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = shared.value
+        words = Dictionary(**shared.value)
         end = words.ids[END]
         unigram = words.log_unigram(words.counts)
         for batch in _slices(batches):
@@ -297,7 +292,7 @@ def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], c
                     "n_known": np.bincount(text_of, known, minlength=n).astype(np.int64),
                     "base_score": np.bincount(text_of, single, minlength=n),
                     "gain": np.bincount(text_of, gain, minlength=n)
-                    + _seen_gain(ids, lengths, parts, words, blocks, grams.value),
+                    + _seen_gain(ids, lengths, parts, words, blocks, Filter(**grams.value)),
                     "others": others,
                 }
             )
@@ -315,10 +310,11 @@ def _score_next(scored: DataFrame, shared, grams, blocks: tuple[int, int, int])
 
     def add(texts: pd.Series, gain: pd.Series) -> pd.Series:
         frame = pd.DataFrame({"text": texts, "gain": gain})
+        words, bloom = Dictionary(**shared.value), Filter(**grams.value)
         out = []
         for part in _slices(iter([frame])):
-            ids, lengths, parts = _batch_ids(part["text"], shared.value.ids)
-            out.append(part["gain"].to_numpy() + _seen_gain(ids, lengths, parts, shared.value, blocks, grams.value))
+            ids, lengths, parts = _batch_ids(part["text"], words.ids)
+            out.append(part["gain"].to_numpy() + _seen_gain(ids, lengths, parts, words, blocks, bloom))
         return pd.Series(np.concatenate([*out, np.zeros(0)]))
 
     return scored.withColumn("gain", F.pandas_udf(add, "double")("text", "gain"))
@@ -340,14 +336,14 @@ def scores(
     learn = docs.filter(train).select(F.col(text).alias("text"))
     words = stage(count_words(learn), "words")
     lexicon = dictionary(words)
-    shared = spark.sparkContext.broadcast(lexicon)
+    shared = spark.sparkContext.broadcast(vars(lexicon))
     blocks = count_grams(learn, shared, block_events)
     # Row numbers are only used within tables written from this one.
     known = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     )
     for number in range(blocks.n):
-        grams = spark.sparkContext.broadcast(blocks.load(number))
+        grams = spark.sparkContext.broadcast(vars(blocks.load(number)))
         which, more = (number, blocks.parts, blocks.runs), number < blocks.n - 1
         if number == 0:
             known = _score_first(known, shared, grams, which, ["row", "doc_id", *(["text"] if more else [])])

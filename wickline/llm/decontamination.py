@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -27,13 +29,6 @@ def fold_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
 
-class _Vocabulary(dict):
-    """Word to hash; a word that no item has is 0."""
-
-    def __missing__(self, word: bytes) -> int:
-        return 0
-
-
 def _shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     """Polynomial hashes of all runs of ``n`` words."""
     count = max(0, len(hashes) - n + 1)
@@ -43,34 +38,45 @@ def _shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _hashes(words: list[bytes], vocabulary: _Vocabulary) -> np.ndarray:
-    return np.fromiter(map(vocabulary.__getitem__, words), np.uint64, len(words))
+def _hashes(words: list[bytes], vocabulary: dict[bytes, int]) -> np.ndarray:
+    """Hashes of words; a word that no item has is 0."""
+    return np.fromiter(map(vocabulary.get, words, repeat(0)), np.uint64, len(words))
 
 
+@dataclass
 class Block:
-    """Windows of some items, with the shingles they consist of."""
+    """Windows of some items, with the shingles they consist of.
+
+    Broadcast values are pickled without their classes, so workers get the fields alone (``vars``).
+    """
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int, shingle: int):
+    vocabulary: dict[bytes, int]
+    windows: list[tuple[bytes, ...]]
+    #: Items of each window.
+    owners: list[list[str]]
+    #: For each window its shingle length and shingle hashes by offset.
+    parts: list[tuple[int, np.ndarray]]
+    #: Sorted shingle hashes by shingle length.
+    known: dict[int, np.ndarray]
+
+    @classmethod
+    def of(cls, items: list[tuple[str, str | None]], window: int, shingle: int) -> Block:
         import xxhash
 
         owners: dict[tuple[bytes, ...], set[str]] = {}
-        self.vocabulary = _Vocabulary()
+        vocabulary: dict[bytes, int] = {}
         for item, text in items:
             words = fold_words(text)
             for word in words:
-                self.vocabulary[word] = xxhash.xxh64_intdigest(word, 7) | 1
+                vocabulary[word] = xxhash.xxh64_intdigest(word, 7) | 1
             for i in range(max(1, len(words) - window + 1) if words else 0):
                 owners.setdefault(tuple(words[i : i + window]), set()).add(item)
-        self.windows = sorted(owners)
-        self.owners = [sorted(owners[w]) for w in self.windows]
-        #: For each window its shingle length and shingle hashes by offset.
-        self.parts = []
-        for words in self.windows:
+        windows, parts = sorted(owners), []
+        for words in windows:
             n = min(shingle, len(words))
-            self.parts.append((n, _shingles(_hashes(list(words), self.vocabulary), n)))
-        self.known = {
-            n: np.unique(np.concatenate([h for m, h in self.parts if m == n])) for n in {m for m, _ in self.parts}
-        }
+            parts.append((n, _shingles(_hashes(list(words), vocabulary), n)))
+        known = {n: np.unique(np.concatenate([h for m, h in parts if m == n])) for n in {m for m, _ in parts}}
+        return cls(vocabulary, windows, [sorted(owners[w]) for w in windows], parts, known)
 
     def prefixes(self, frequency: dict[tuple[int, int], int]) -> dict[int, dict[int, list[tuple[int, int]]]]:
         """For each shingle length: rarest shingle of a window -> (window, offset).
@@ -96,7 +102,7 @@ def _frequencies(docs: DataFrame, text: str, shared) -> dict[tuple[int, int], in
     """How often each shingle of a block occurs in all documents."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = shared.value
+        block = Block(**shared.value)
         totals = {n: np.zeros(len(keys), dtype=np.int64) for n, keys in block.known.items()}
         for batch in batches:
             for value in batch["text"]:
@@ -141,7 +147,7 @@ def _matcher(shared, prefixes):
         return runs, items
 
     def match(texts: pd.Series, spans: pd.Series, found: pd.Series) -> pd.DataFrame:
-        block = shared.value
+        block = Block(**shared.value)
         tables = {n: (np.array(sorted(t), dtype=np.uint64), t) for n, t in prefixes.value.items()}
         out = []
         for text, old, items in zip(texts, spans, found, strict=True):
@@ -194,8 +200,8 @@ def contamination(
     nothing = (F.array().cast("array<bigint>"), F.array().cast("array<string>"))
     for number in range(n):
         chosen = [(r.item, r.text) for r in items.filter(F.col("block") == number).select("item", "text").collect()]
-        block = Block(chosen, window, shingle)
-        shared = spark.sparkContext.broadcast(block)
+        block = Block.of(chosen, window, shingle)
+        shared = spark.sparkContext.broadcast(vars(block))
         frequency = _frequencies(docs, text, shared) if block.windows else {}
         prefixes = spark.sparkContext.broadcast(block.prefixes(frequency))
         before = nothing if number == 0 else (F.col(f"{name}.spans"), F.col(f"{name}.items"))
