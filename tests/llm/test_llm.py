@@ -188,14 +188,45 @@ def test_language_model_blocks_change_no_score(spark):
     assert all(a.score <= 0 and b.score <= 0 for a, b in rows)
 
 
+@pytest.mark.parametrize("bits", [21, 5])
+def test_language_model_scores_equal_exact_counts(spark, monkeypatch, bits):
+    """Words outside the dictionary (nearly all with 5 bits) and very long ones keep their bigrams."""
+    monkeypatch.setattr(bloom_lm, "WORD_BITS", bits)
+    # So many that no false positive is to be expected.
+    monkeypatch.setattr(bloom_lm, "PROBES", 24)
+    rng = np.random.default_rng(15)
+    words = [f"w{i}" for i in range(60)] + ["L" * 70, "L" * 71, "é" * 40]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 50)))) for _ in range(150)] + [None, "new words only", "x" * 9000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    got = {r.doc_id: r for r in bloom_lm.scores(docs, F.col("doc_id") < 130).collect()}
+    own = [[*(t or "").encode().lower().split(), b"end"] for t in texts]
+    single = Counter(w for t in own[:130] for w in t)
+    double = Counter(p for t in own[:130] for p in zip([b"end", *t], t))
+    n, v, s = sum(single.values()), len(single), bloom_lm.SMOOTHING
+
+    def floor(c):
+        return 2 ** (c.bit_length() - 1) if c else 0
+
+    def ceiling(w):
+        return single[w] if single[w] * 2**bits >= n else 2 ** single[w].bit_length() - 1
+
+    for i, t in enumerate(own):
+        want = base = sum(np.log10((single[w] + 1) / (n + v + 1)) for w in t)
+        for h, w in zip([b"end", *t], t):
+            joint = min(floor(double[h, w]), single[h] if single[h] * 2**bits >= n else n / 2**bits)
+            want += np.log10(s / (ceiling(h) + s)) + np.log10(1 + joint * (n + v + 1) / (s * (ceiling(w) + 1)))
+        assert got[i].base_score == pytest.approx(base) and got[i].score <= 0
+        assert got[i].score == pytest.approx(want, abs=1e-6)
+
+
 def test_block_runs_hold_all_bigrams():
-    keys = np.arange(20_000, dtype=np.uint64)
+    keys = np.arange(20_000, dtype=np.uint64) << np.uint64(32)
     block = bloom_lm.block_of(keys, bloom_lm.SHARDS * 7, 3)
     assert sorted(set(block)) == [0, 1, 2]
 
 
 def test_bloom_counts_are_quantised_down():
-    keys = np.arange(5000, dtype=np.uint64) * np.uint64(977)
+    keys = np.arange(5000, dtype=np.uint64) * np.uint64(977 << 32)
     counts = np.arange(1, 5001, dtype=np.int64)
     q = bloom_lm.events_of(counts)
     shard = bloom_lm.shard_of(keys)

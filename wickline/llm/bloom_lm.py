@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from hashlib import blake2b
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,9 @@ from wickline.llm.common import stage
 from wickline.llm.packing import mixed, pack, pack_sorted, unpack, unpack_sorted
 
 #: A word is in the broadcast dictionary from this share of all training tokens on, so the dictionary
-#: has at most 2 ** WORD_BITS words, each of at most WORD_BYTES bytes.
+#: has at most 2 ** WORD_BITS words. Words above WORD_BYTES bytes are known by a 160-bit digest.
 WORD_BITS, WORD_BYTES = 21, 64
-#: The filter holds every bigram of dictionary words, so it grows with the corpus. It is broadcast in blocks of
+#: The filter holds every bigram, and every word outside the dictionary, so it grows with the corpus. It is broadcast in blocks of
 #: about this many events (84 MB) one after another; each adds to the scores what its bigrams say.
 BLOCK_EVENTS = 1 << 26
 #: Bits set for each event, and parts of a block that are built in separate tasks.
@@ -27,12 +29,35 @@ PROBES, SHARDS = 7, 64
 SMOOTHING = 8.0
 #: The end of a text, no word as it is white space; also the history of a text's first word.
 END = b"\n"
+_FACTOR, _UPPER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFF00000000)
 _FLUSH_WORDS, _FLUSH_GRAMS = 400_000, 4_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """Words between ASCII white space with A-Z in lower case, then one end."""
-    return [*(text or "").encode().lower().split(), END]
+    """Words between ASCII white space with A-Z in lower case, then one end; long words by their digest."""
+    words = (text or "").encode().lower().split()
+    if words and max(map(len, words)) > WORD_BYTES:
+        words = [w if len(w) <= WORD_BYTES else END + blake2b(w, digest_size=20).digest() for w in words]
+    return [*words, END]
+
+
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 11)
+
+
+def gram_keys(history: np.ndarray, word: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Keys of bigrams by the hashes of both words.
+
+    The upper half says where a key is dealt. That of a rare word's bigrams is the word's own, so that they lie
+    with its count; a frequent word's bigrams are spread.
+    """
+    key = mixed(history * _FACTOR + word, 5)
+    return np.where(rare, (mixed(word, 6) & _UPPER) | (key & ~_UPPER), key)
+
+
+def word_keys(word: np.ndarray) -> np.ndarray:
+    """Keys of single rare words."""
+    return mixed(word, 6)
 
 
 @dataclass
@@ -44,6 +69,7 @@ class Dictionary:
 
     ids: dict[bytes, int]
     counts: np.ndarray
+    hashes: np.ndarray
     n_tokens: int
     n_distinct: int
 
@@ -53,7 +79,7 @@ class Dictionary:
 
 @dataclass
 class Filter:
-    """Events ``(bigram, 1) ... (bigram, q)`` of a block's bigrams, ``q`` growing with the logarithm of the count."""
+    """Events ``(key, 1) ... (key, q)`` of a block's bigrams and rare words, ``q`` growing with the logarithm of the count."""
 
     #: The bits of all shards, one shard after another, and the bits of a shard.
     shards: np.ndarray
@@ -84,7 +110,7 @@ class Filter:
 
 
 def shard_of(keys: np.ndarray) -> np.ndarray:
-    return mixed(keys, 101) % np.uint64(SHARDS)
+    return mixed(keys >> np.uint64(32), 101) % np.uint64(SHARDS)
 
 
 @dataclass
@@ -120,7 +146,7 @@ def _block(part: Column, runs: int) -> Column:
 
 def block_of(keys: np.ndarray, parts: int, runs: int) -> np.ndarray:
     """The block of each key; the key's part also says its shard, as ``parts`` is a multiple of ``SHARDS``."""
-    return (mixed(keys, 101) % np.uint64(parts) // np.uint64(SHARDS * runs)).astype(np.int64)
+    return (mixed(keys >> np.uint64(32), 101) % np.uint64(parts) // np.uint64(SHARDS * runs)).astype(np.int64)
 
 
 def events_of(counts: np.ndarray) -> np.ndarray:
@@ -170,10 +196,11 @@ def count_words(train: DataFrame) -> DataFrame:
 
 def dictionary(words: DataFrame) -> Dictionary:
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    frequent = words.filter((F.col("c") * (1 << WORD_BITS) >= n) & (F.length("word") <= WORD_BYTES)).toPandas()
+    frequent = words.filter(F.col("c") * (1 << WORD_BITS) >= n).toPandas()
     frequent = frequent.sort_values("word", ignore_index=True)
     ids = dict(zip(map(bytes, frequent["word"]), range(len(frequent)), strict=True))
-    return Dictionary(ids, frequent["c"].to_numpy(np.int64), int(n), int(v))
+    hashes = np.fromiter(map(word_hash, ids), np.uint64, len(ids))
+    return Dictionary(ids, frequent["c"].to_numpy(np.int64), hashes, int(n), int(v))
 
 
 def _batch_ids(texts, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
@@ -184,40 +211,58 @@ def _batch_ids(texts, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray,
     return ids, lengths, parts
 
 
-def _bigram_keys(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """History and word ids; the first word of each text follows the end."""
-    before = np.concatenate([[end], ids[:-1]])
-    before[np.cumsum(lengths) - lengths] = end
-    both = (before >= 0) & (ids >= 0)
-    return both, ((before << WORD_BITS) | ids).astype(np.uint64)
+def _heads(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+@dataclass
+class _Grams:
+    """Tokens of some texts end to end: ids and hashes of words and of their histories, and keys of the bigrams."""
+
+    ids: np.ndarray
+    codes: np.ndarray
+    before: np.ndarray
+    history: np.ndarray
+    keys: np.ndarray
+
+
+def _grams(ids: np.ndarray, lengths: np.ndarray, parts: list[list[bytes]], words: Dictionary) -> _Grams:
+    """The first word of each text follows the end."""
+    rare, codes = ids < 0, np.zeros(len(ids), dtype=np.uint64)
+    codes[~rare] = words.hashes[ids[~rare]]
+    flat = list(chain.from_iterable(parts))
+    codes[rare] = np.fromiter((word_hash(flat[i]) for i in np.flatnonzero(rare)), np.uint64, int(rare.sum()))
+    heads = _heads(lengths)
+    before, history = np.roll(ids, 1), np.roll(codes, 1)
+    before[heads], history[heads] = words.ids.get(END, -1), np.uint64(word_hash(END))
+    return _Grams(ids, codes, before, history, gram_keys(history, codes, rare))
 
 
 def count_grams(train: DataFrame, shared, block_events: int) -> Blocks:
-    """Count and quantise bigrams of dictionary words in groups, and deal the groups to blocks.
+    """Count and quantise bigrams and words outside the dictionary in groups, and deal the groups to blocks.
 
-    Events are at most as many as tokens, so ``SHARDS`` groups for each ``block_events`` tokens fit a block;
+    Events are at most twice as many as tokens, so half of ``block_events`` tokens fit a block with ``SHARDS`` groups;
     as many of such runs as their events allow go to one block.
     """
-    runs_in_all = max(1, -(-shared.value["n_tokens"] // block_events))
+    runs_in_all = max(1, -(-2 * shared.value["n_tokens"] // block_events))
     parts = SHARDS * runs_in_all
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value["ids"]
-        end, held, size = known[END], [], 0
+        words = Dictionary(**shared.value)
+        held, size = [], 0
 
         def flush() -> pd.DataFrame:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            part = mixed(keys, 101) % np.uint64(parts)
+            part = mixed(keys >> np.uint64(32), 101) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order])) + 1
             rows = [(int(part[at[0]]), pack_sorted(keys[at]), pack(counts[at])) for at in np.split(order, cuts) if len(at)]
             return pd.DataFrame(rows, columns=["part", "grams", "counts"])
 
         for batch in _slices(batches):
-            ids, lengths, _ = _batch_ids(batch["text"], known)
-            both, keys = _bigram_keys(ids, lengths, end)
-            held.append(keys[both])
-            size += len(held[-1])
+            grams = _grams(*_batch_ids(batch["text"], words.ids), words)
+            held += [grams.keys, word_keys(grams.codes[grams.ids < 0])]
+            size += len(held[-1]) + len(held[-2])
             if size >= _FLUSH_GRAMS:
                 yield flush()
                 held, size = [], 0
@@ -244,22 +289,34 @@ def count_grams(train: DataFrame, shared, block_events: int) -> Blocks:
     return Blocks(grams, parts, runs, -(-runs_in_all // runs), bits)
 
 
-def _heads(lengths: np.ndarray) -> np.ndarray:
-    return np.cumsum(lengths) - lengths
+def _gain(ids, lengths, parts, words: Dictionary, blocks: tuple[int, int, int], bloom: Filter) -> np.ndarray:
+    """What one block says of each text's log10 probability beyond its words' own.
 
-
-def _seen_gain(ids, lengths, parts: list[int], words: Dictionary, blocks: tuple[int, int, int], bloom: Filter) -> np.ndarray:
-    """What the bigrams of one block add to each text's log10 probability, against their being unseen."""
+    Words of the dictionary have exact counts, others those of the filter, rounded up where a bigram's is
+    rounded down, so that no bigram exceeds its words.
+    """
     number, n_parts, runs = blocks
-    both, keys = _bigram_keys(ids, lengths, words.ids[END])
-    at = np.flatnonzero(both)
-    keys = keys[at]
-    own = block_of(keys, n_parts, runs) == number
-    at, keys = at[own], keys[own]
-    history = np.where(np.isin(at, _heads(lengths)), words.ids[END], ids[at - 1])
-    joint = np.minimum(bloom.counts(keys), words.counts[history])
-    added = np.log10(1.0 + joint / (SMOOTHING * 10.0 ** words.log_unigram(words.counts[ids[at]])))
-    return np.bincount(np.repeat(np.arange(len(parts)), lengths)[at], added, minlength=len(parts))
+    grams = _grams(ids, lengths, parts, words)
+    text_of, gain = np.repeat(np.arange(len(parts)), lengths), np.zeros(len(ids))
+    rare = np.flatnonzero(grams.before < 0)
+    singles = word_keys(grams.history[rare])
+    own = block_of(singles, n_parts, runs) == number
+    gain[rare[own]] = np.log10(SMOOTHING / (2.0 ** bloom.quantised(singles[own]) - 1 + SMOOTHING))
+    if number == 0:
+        known = grams.before >= 0
+        gain[known] = np.log10(SMOOTHING / (words.counts[grams.before[known]] + SMOOTHING))
+    at = np.flatnonzero(block_of(grams.keys, n_parts, runs) == number)
+    joint = bloom.counts(grams.keys[at])
+    at, joint = at[joint > 0], joint[joint > 0]
+    known = grams.before[at] >= 0
+    most = np.full(len(at), words.n_tokens / (1 << WORD_BITS))
+    most[known] = words.counts[grams.before[at[known]]]
+    joint = np.minimum(joint, most)
+    count, rare = np.empty(len(at)), grams.ids[at] < 0
+    count[~rare] = words.counts[grams.ids[at[~rare]]]
+    count[rare] = 2.0 ** bloom.quantised(word_keys(grams.codes[at[rare]])) - 1
+    gain[at] += np.log10(1.0 + joint / (SMOOTHING * 10.0 ** words.log_unigram(count)))
+    return np.bincount(text_of, gain, minlength=len(parts))
 
 
 def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], columns: list[str]) -> DataFrame:
@@ -267,20 +324,14 @@ def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], c
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Dictionary(**shared.value)
-        end = words.ids[END]
         unigram = words.log_unigram(words.counts)
         for batch in _slices(batches):
             ids, lengths, parts = _batch_ids(batch["text"], words.ids)
             n = len(parts)
             text_of = np.repeat(np.arange(n), lengths)
             known = ids >= 0
-            # An unknown word gets its unigram part later; what its history adds is known here.
+            # A word outside the dictionary gets its own part later.
             single = np.where(known, unigram[ids] if len(unigram) else 0.0, 0.0)
-            before = np.concatenate([[end], ids[:-1]])
-            before[_heads(lengths)] = end
-            gain = np.zeros(len(ids))
-            history = before >= 0
-            gain[history] = np.log10(SMOOTHING / (words.counts[before[history]] + SMOOTHING))
             others: list[list[dict]] = [[] for _ in range(n)]
             for k in np.unique(text_of[~known]):
                 rare = Counter(w for w in parts[k] if w not in words.ids)
@@ -291,8 +342,7 @@ def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], c
                     "n_tokens": lengths,
                     "n_known": np.bincount(text_of, known, minlength=n).astype(np.int64),
                     "base_score": np.bincount(text_of, single, minlength=n),
-                    "gain": np.bincount(text_of, gain, minlength=n)
-                    + _seen_gain(ids, lengths, parts, words, blocks, Filter(**grams.value)),
+                    "gain": _gain(ids, lengths, parts, words, blocks, Filter(**grams.value)),
                     "others": others,
                 }
             )
@@ -314,7 +364,7 @@ def _score_next(scored: DataFrame, shared, grams, blocks: tuple[int, int, int])
         out = []
         for part in _slices(iter([frame])):
             ids, lengths, parts = _batch_ids(part["text"], words.ids)
-            out.append(part["gain"].to_numpy() + _seen_gain(ids, lengths, parts, words, blocks, bloom))
+            out.append(part["gain"].to_numpy() + _gain(ids, lengths, parts, words, blocks, bloom))
         return pd.Series(np.concatenate([*out, np.zeros(0)]))
 
     return scored.withColumn("gain", F.pandas_udf(add, "double")("text", "gain"))
@@ -327,8 +377,8 @@ def scores(
 
     ``train`` is a condition over ``docs`` that marks rows to learn from. ``base_score`` is the exact
     add-one unigram score. ``score`` is log10 of ``(c(h w) + s * p(w)) / (c(h) + s)`` summed over the tokens,
-    with ``p`` the unigram probability, ``c(h w)`` the filter's quantised count and ``s`` the smoothing; after
-    a history outside the dictionary it is ``p(w)``. Null and empty texts have their end as only token;
+    with ``p`` the unigram probability, ``c(h w)`` the filter's quantised count and ``s`` the smoothing; ``c(h)``
+    and the count in ``p(w)`` beside ``c(h w)`` are the filter's too for words outside the dictionary. Null and empty texts have their end as only token;
     repeated rows are learnt from and scored each; with nothing to learn from every word is unknown.
     The texts are read once more for each further block of the filter.
     """
@@ -352,7 +402,7 @@ def scores(
         known = stage(known if more else known.drop("text"), "lm-scores")
         grams.unpersist()
     other = known.select("row", F.explode("others").alias("o")).select("row", "o.word", "o.n")
-    rare = words.filter((F.col("c") * (1 << WORD_BITS) < lexicon.n_tokens) | (F.length("word") > WORD_BYTES))
+    rare = words.filter(F.col("c") * (1 << WORD_BITS) < lexicon.n_tokens)
     count = F.coalesce("c", F.lit(0))
     scale = float(lexicon.n_tokens + lexicon.n_distinct + 1)
     found = (
