@@ -236,3 +236,31 @@ def test_new_queries_run_on_whole_tables(spark):
     same([tuple(r) for r in QUERIES["op11_divergence"](spark, SF_DIR).collect()], brute.divergence(rows))
     assert QUERIES["op13_whitening"](spark, SF_DIR).filter(F.col("component") > 4).isEmpty()
     assert len(ROWS) == len(PLAIN)
+
+
+@pytest.mark.parametrize("limit", [minhash.MARKS, 0])
+def test_marked_rows_are_those_needed(spark, limit):
+    """Bits of bitmaps, over several bitmaps and partitions of ids; above the limit all rows stay."""
+    texts = spark.range(0, 120_000, 1, 3).select(F.monotonically_increasing_id().alias("cid"), F.lit("x").alias("text"))
+    needed = texts.filter("pmod(xxhash64(cid), 97) < 3 OR cid % 32768 IN (0, 1, 7, 8, 32767)").select("cid")
+    got = minhash.marked_rows(texts, needed, limit)
+    assert got.columns == ["cid", "text"]
+    want = needed if limit else texts.select("cid")
+    assert got.count() == want.count() and got.join(want, "cid", "left_anti").isEmpty()
+
+
+def test_sets_of_many_texts_equal_sets_of_one():
+    rand = random.Random(8)
+    texts = [" ".join(rand.choice("abCd") for _ in range(rand.randint(0, 9))) for _ in range(300)]
+    texts += [None, "", " \t\x0b\n", "a b c", "A  B\tc", "x y " * 40000, "K ſ k s", "a b c d"]
+    sets = minhash.shingle_sets(texts)
+    assert all(s.tolist() == minhash.shingle_sets([t])[0].tolist() for s, t in zip(sets, texts, strict=True))
+    grams = []
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        grams.append({tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set())
+    names = {}
+    for found, gram in zip(sets, grams, strict=True):
+        assert len(found) == len(gram)
+        names.setdefault(frozenset(gram), set()).add(tuple(found.tolist()))
+    assert all(len(found) == 1 for found in names.values()) and len(set.union(*names.values())) == len(names)

@@ -45,8 +45,8 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, mixed(Hashes(data).of(start, length) + length.astype(np.uint64), 7)
 
 
-def shingles(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Of each text the hashes of all runs of five words (A-Z in lower case), and the number of words."""
+def shingles(texts: list[bytes], width: int = SHINGLE) -> tuple[list[np.ndarray], np.ndarray]:
+    """Of each text the hashes of all runs of ``width`` words (A-Z in lower case), and the number of words."""
     out: list[np.ndarray] = []
     counts: list[np.ndarray] = []
     at = 0
@@ -59,13 +59,13 @@ def shingles(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
         data = np.frombuffer((b" ".join(texts[at:end]) + b" ").lower(), dtype=np.uint8)
         start, hashes = _word_hashes(data)
         words = np.diff(np.searchsorted(start, np.concatenate([[0], np.cumsum(lengths)])))
-        n = max(0, len(hashes) - SHINGLE + 1)
+        n = max(0, len(hashes) - width + 1)
         runs = np.zeros(n, dtype=np.uint64)
-        for i in range(SHINGLE):
+        for i in range(width):
             runs = runs * _FACTOR + hashes[i : i + n]
         runs = mixed(runs, 9)
         first = np.cumsum(words) - words
-        out += [runs[f : f + max(0, w - SHINGLE + 1)] for f, w in zip(first.tolist(), words.tolist(), strict=True)]
+        out += [runs[f : f + max(0, w - width + 1)] for f, w in zip(first.tolist(), words.tolist(), strict=True)]
         counts.append(words)
         at = end
     return out, np.concatenate([*counts, np.zeros(0, np.int64)])

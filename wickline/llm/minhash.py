@@ -8,12 +8,13 @@ a star may miss, two members alike to each other but not to the centre, is left
 then still lie in several components; these are compared inside, across components. Before texts are moved,
 one byte of each bin tells which members can be alike at all.
 
-Joins that move texts or bands are merge joins at every size, as no side of theirs has a bound.
+Joins that move texts or bands are merge joins at every size, as no side of theirs has a bound. Only texts whose
+rows are marked in broadcast bitmaps of a checked size are moved.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickline.llm.common import stage
+from wickline.llm.compact_windows import shingles
 from wickline.llm.components import components
 from wickline.llm.packing import mixed
 
@@ -38,34 +40,29 @@ _BINS = BANDS * ROWS
 _EDGES = np.array([-(-(i << 64) // _BINS) for i in range(_BINS)], dtype=np.uint64)
 _PROBES = np.argsort(mixed(np.arange(_BINS * _BINS, dtype=np.uint64), 7).reshape(_BINS, _BINS), axis=1, kind="stable")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Word hashes that a worker remembers.
-_KNOWN_WORDS = 1 << 20
+#: Bytes of marks of texts that one broadcast may hold: 4 KB for 32,768 rows, so about half a billion rows.
+MARKS = 64 << 20
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = xxhash.xxh64_intdigest(word, 1)
-        if len(self) < _KNOWN_WORDS:
-            self[word] = value
-        return value
-
-
-def shingles(text: str | None, known: dict[bytes, int], n: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams of ``text``; of fewer words, of all of them."""
+def shingle_sets(texts: Iterable[str | None], n: int = SHINGLE) -> list[np.ndarray]:
+    """Of each text the sorted distinct 64-bit hashes of its word n-grams; of fewer words, of all of them."""
     import xxhash
 
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    if len(words) < n:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 2)], dtype=np.uint64)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    out = hashes[: len(words) - n + 1].copy()
-    for i in range(1, n):
-        out = out * _STEP + hashes[i : len(words) - n + 1 + i]
-    return np.unique(mixed(out, 3))
+    data = [(text or "").encode() for text in texts]
+    runs, counts = shingles(data, n)
+    out = []
+    for text, values, count in zip(data, runs, counts.tolist(), strict=True):
+        if count >= n:
+            values = np.sort(values)
+            new = np.ones(len(values), dtype=bool)
+            np.not_equal(values[1:], values[:-1], out=new[1:])
+            values = values[new]
+        elif count:
+            values = np.array([xxhash.xxh64_intdigest(b" ".join(text.lower().split()), 2)], dtype=np.uint64)
+        else:
+            values = np.zeros(0, dtype=np.uint64)
+        out.append(values)
+    return out
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -94,11 +91,9 @@ def sketches(text: Column, n: int = SHINGLE) -> Column:
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        known = _WordHashes()
         for texts in batches:
             rows = []
-            for value in texts:
-                found = shingles(value, known, n)
+            for found in shingle_sets(texts, n):
                 if len(found):
                     s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
                     bins = signature(found)
@@ -110,7 +105,7 @@ def sketches(text: Column, n: int = SHINGLE) -> Column:
     return F.pandas_udf(sketch, "n BIGINT, s1 BIGINT, s2 BIGINT, bands ARRAY<BIGINT>, bytes BINARY")(text)
 
 
-def _bytes(values: pd.Series) -> np.ndarray:
+def _bytes(values: pd.Series | np.ndarray) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
 
 
@@ -129,14 +124,22 @@ def alike(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 100 * common >= SIMILAR * (a + b - common)
 
 
-def _in_runs(solve: Callable[[pd.DataFrame], pd.DataFrame], keys: list[str]):
-    """``solve`` on each run of rows with equal keys. Rows arrive sorted; a run may cross batches."""
+def _in_runs(solve: Callable[..., list[np.ndarray]], keys: list[str], out: list[str], n: int | None = None):
+    """``solve`` on each run of rows with equal keys; it returns columns ``out``. Rows arrive sorted; a run may cross batches.
 
-    def each(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    With ``n``, the shingle sets of the rows are its second argument, taken of many rows at once.
+    """
+
+    def all_runs(frame: pd.DataFrame) -> pd.DataFrame:
         values = frame[keys].to_numpy()
         cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
-        for low, high in zip([0, *cuts], [*cuts, len(frame)], strict=True):
-            yield solve(frame.iloc[low:high])
+        columns = {name: frame[name].to_numpy() for name in frame.columns}
+        sets = shingle_sets(columns.pop("text"), n) if n else None
+        found = []
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(frame)], strict=True):
+            run = {name: column[low:high] for name, column in columns.items()}
+            found.append(solve(run, sets[low:high]) if n else solve(run))
+        return pd.DataFrame({name: np.concatenate([f[i] for f in found]) for i, name in enumerate(out)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -147,30 +150,45 @@ def _in_runs(solve: Callable[[pd.DataFrame], pd.DataFrame], keys: list[str]):
             same = (frame[keys].to_numpy() == frame[keys].iloc[-1].to_numpy()).all(axis=1)
             rest = frame[same]
             if not same.all():
-                yield pd.concat(each(frame[~same]))
+                yield all_runs(frame[~same])
         if rest is not None:
-            yield pd.concat(each(rest))
+            yield all_runs(rest)
 
     return run
 
 
-def _star(n: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    known = None
+def _star(rows: dict[str, np.ndarray], sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Links between the first row and the others."""
+    centre = sets[0]
+    sizes = np.array([len(s) for s in sets[1:]], dtype=np.int64)
+    common = np.array([_common(centre, s) for s in sets[1:]], dtype=np.int64)
+    linked = rows["cid"][1:][alike(common, len(centre), sizes)]
+    return [np.full(len(linked), rows["cid"][0]), linked]
 
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        nonlocal known
-        if known is None:
-            known = _WordHashes()
-        centre = shingles(rows["text"].iloc[0], known, n)
-        linked = []
-        for cid, text in zip(rows["cid"].iloc[1:], rows["text"].iloc[1:], strict=True):
-            member = shingles(text, known, n)
-            common = np.intersect1d(centre, member, assume_unique=True).size
-            if alike(common, len(centre), len(member)):
-                linked.append(cid)
-        return pd.DataFrame({"u": rows["cid"].iloc[0], "v": np.array(linked, dtype=np.int64)})
 
-    return solve
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Values that two sorted arrays without repeats have in common."""
+    both = np.sort(np.concatenate([a, b]))
+    return int((both[1:] == both[:-1]).sum())
+
+
+def marked_rows(texts: DataFrame, needed: DataFrame, limit: int = MARKS) -> DataFrame:
+    """The rows of ``texts`` whose ``cid`` is in ``needed``, so that no other text is shuffled for a join.
+
+    The ids are marked as bits, 32,768 to a bitmap, and the bitmaps are broadcast; above ``limit`` bytes of
+    them all rows are returned, which the join that follows sorts out.
+    """
+    bits = needed.groupBy(F.bitmap_bucket_number("cid").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("cid")).alias("bits")
+    )
+    bits = stage(bits, "marks")
+    if bits.count() * 4096 > limit:
+        return texts
+    place = "cast(bitmap_bit_position(cid) AS INT)"
+    byte = f"cast(conv(hex(substring(bits, {place} div 8 + 1, 1)), 16, 10) AS INT)"
+    marked = F.expr(f"(shiftright({byte}, {place} % 8) & 1) = 1")
+    named = texts.withColumn("bucket", F.bitmap_bucket_number("cid")).join(F.broadcast(bits), "bucket")
+    return named.filter(marked).select(*texts.columns)
 
 
 def star_links(texts: DataFrame, stars: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -186,60 +204,51 @@ def star_links(texts: DataFrame, stars: DataFrame, n: int = SHINGLE) -> DataFram
         "center", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)).alias("slot"), F.lit(0).alias("role"), F.col("center").alias("cid")
     )
     keys = ["center", "slot"]
-    dealt = members.unionByName(centres).join(texts.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "role", "cid")
-    return dealt.select(*keys, "cid", "text").mapInPandas(_in_runs(_star(n), keys), "u BIGINT, v BIGINT")
-
-
-def _across(n: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    known = None
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        """A forest of the links between components, from the left to the right block."""
-        nonlocal known
-        if known is None:
-            known = _WordHashes()
-        sets = [shingles(t, known, n) for t in rows["text"]]
-        sizes = np.array([len(s) for s in sets])
-        own, (low, high) = rows["block"].to_numpy(), rows[["lo", "hi"]].iloc[0]
-        right = np.flatnonzero(own == high)
-        if not len(right):
-            return pd.DataFrame({"u": [], "v": []}, dtype=np.int64)
+    both = members.unionByName(centres)
+    needed = marked_rows(texts, both.select("cid").distinct())
+    dealt = both.join(needed.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "role", "cid")
+    return dealt.select(*keys, "cid", "text").mapInPandas(_in_runs(_star, keys, ["u", "v"], n), "u BIGINT, v BIGINT")
+
+
+def _across(rows: dict[str, np.ndarray], sets: list[np.ndarray]) -> list[np.ndarray]:
+    """A forest of the links between components, from the left to the right block."""
+    sizes = np.array([len(s) for s in sets])
+    own, low, high = rows["block"], rows["lo"][0], rows["hi"][0]
+    left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    found: list[tuple[int, int]] = []
+    labels, cids = rows["label"].copy(), rows["cid"]
+    if len(left) and len(right) and (labels != labels[0]).any():
         universe, place = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        right_places = np.concatenate([place[starts[j] : ends[j]] for j in right])
-        cuts = np.cumsum(sizes[right]) - sizes[right]
-        labels, cids = rows["label"].to_numpy().copy(), rows["cid"].to_numpy()
-        found = []
-        for i in np.flatnonzero(own == low):
+        for i in left:
             fits = 100 * np.minimum(sizes[right], sizes[i]) >= SIMILAR * np.maximum(sizes[right], sizes[i])
-            if not (fits & (labels[right] != labels[i])).any():
+            other = right[fits & (labels[right] != labels[i])]
+            if not len(other):
                 continue
             marked = np.zeros(len(universe), dtype=np.int64)
             marked[place[starts[i] : ends[i]]] = 1
-            common = np.add.reduceat(marked[right_places], cuts)
-            for j in right[fits & alike(common, sizes[right], sizes[i])]:
+            common = np.array([marked[place[starts[j] : ends[j]]].sum() for j in other])
+            for j in other[alike(common, sizes[other], sizes[i])]:
                 if labels[i] != labels[j]:
                     found.append((cids[i], cids[j]))
                     labels[labels == labels[j]] = labels[i]
-        return pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
-
-    return solve
+    return list(np.array(found, dtype=np.int64).reshape(-1, 2).T)
 
 
-def _partners(rows: pd.DataFrame) -> pd.DataFrame:
+def _partners(rows: dict[str, np.ndarray]) -> list[np.ndarray]:
     """Members of two blocks of a bucket that may be alike to one of another component."""
-    sketches, labels, sizes = _bytes(rows["bytes"]), rows["label"].to_numpy(), rows["n"].to_numpy()
-    own, (low, high) = rows["block"].to_numpy(), rows[["lo", "hi"]].iloc[0]
+    sketches, labels, sizes = _bytes(rows["bytes"]), rows["label"], rows["n"]
+    own, low, high = rows["block"], rows["lo"][0], rows["hi"][0]
     left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-    found = np.zeros(len(rows), dtype=bool)
+    found = np.zeros(len(own), dtype=bool)
     for i in left:
         other = right[labels[right] != labels[i]]
         other = other[100 * np.minimum(sizes[other], sizes[i]) >= SIMILAR * np.maximum(sizes[other], sizes[i])]
         other = other[(sketches[other] == sketches[i]).sum(1) >= AGREE]
         found[other] = True
         found[i] |= len(other) > 0
-    return rows.loc[found, ["key", "cid", "label"]]
+    return [rows[name][found] for name in ("key", "cid", "label")]
 
 
 def _in_blocks(members: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -268,10 +277,11 @@ def bucket_links(texts: DataFrame, members: DataFrame, sketched: DataFrame, root
     )
     dealt, keys = _in_blocks(labelled)
     dealt = dealt.join(sketched, "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
-    found = dealt.mapInPandas(_in_runs(_partners, keys), "key BIGINT, cid BIGINT, label BIGINT").distinct()
+    found = dealt.mapInPandas(_in_runs(_partners, keys, ["key", "cid", "label"]), "key BIGINT, cid BIGINT, label BIGINT").distinct()
     dealt, keys = _in_blocks(stage(found, "possible-links"))
-    dealt = dealt.join(texts.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
-    return dealt.mapInPandas(_in_runs(_across(n), keys), "u BIGINT, v BIGINT").distinct()
+    needed = marked_rows(texts, dealt.select("cid").distinct())
+    dealt = dealt.join(needed.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
+    return dealt.mapInPandas(_in_runs(_across, keys, ["u", "v"], n), "u BIGINT, v BIGINT").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
