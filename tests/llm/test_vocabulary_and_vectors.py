@@ -115,6 +115,7 @@ def _minhash(spark, rows):
 @pytest.mark.parametrize("block", [256, 2])
 def test_near_duplicates_equal_brute_force(spark, edited, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SIGNATURES", block)
     rows = [*PLAIN, *edited, (13, "x " * 50000), (14, "X " * 50000 + "y")]
     same(_minhash(spark, rows), brute.near_duplicates(rows))
 
@@ -132,6 +133,7 @@ def test_links_that_stars_miss_are_found(spark, monkeypatch):
             rows.append((10 * group + copy + 5, " ".join(text)))
     for block in (256, 4):
         monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "SIGNATURES", block)
         same(_minhash(spark, rows), brute.near_duplicates(rows))
 
 

@@ -33,8 +33,10 @@ BANDS, ROWS = 24, 4
 AGREE = BANDS * ROWS // 2
 #: Words of a shingle, and the similarity in percent from which two sets are linked.
 SHINGLE, SIMILAR = 4, 80
-#: Members of a star, or of a block of a bucket, that one task compares at once.
+#: Members of a star, or of a block of a bucket, whose texts one task compares at once.
 BLOCK = 256
+#: Members of a block of a bucket whose signatures (about 130 bytes each) one task compares at once.
+SIGNATURES = 2048
 
 _BINS = BANDS * ROWS
 _EDGES = np.array([-(-(i << 64) // _BINS) for i in range(_BINS)], dtype=np.uint64)
@@ -251,19 +253,32 @@ def _partners(rows: dict[str, np.ndarray]) -> list[np.ndarray]:
     return [rows[name][found] for name in ("key", "cid", "label")]
 
 
-def _in_blocks(members: DataFrame) -> tuple[DataFrame, list[str]]:
+def _in_blocks(members: DataFrame, size: int) -> tuple[DataFrame, list[str]]:
     """Rows of each bucket of two or more components, once for each pair of blocks that they take part in.
 
-    Above ``BLOCK`` members a bucket is dealt in blocks, and each pair of blocks is compared in a task.
+    Members of a bucket's largest component are dealt to blocks of ``size`` of their own, which meet the blocks
+    of the other members only: links inside a component are not sought. So a bucket with one large component
+    and few others is copied as often as the others have blocks, not as often as it has blocks itself.
     """
-    several = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("m"))
-    several = several.filter("a <> b").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    rows = members.join(several, "key").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("o")
-    dealt = rows.select(*members.columns, "block", other).select(
-        *members.columns, "block", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi")
+    parts = members.groupBy("key", "label").agg(F.count("*").alias("m"))
+    several = parts.groupBy("key").agg(
+        F.max(F.struct("m", "label")).alias("largest"), F.sum("m").alias("all"), F.count("*").alias("labels")
+    )
+    several = several.filter("labels > 1").select(
+        "key",
+        F.col("largest.label").alias("main"),
+        F.ceil(F.col("largest.m") / size).alias("a"),
+        F.ceil((F.col("all") - F.col("largest.m")) / size).alias("b"),
     )
-    return dealt, ["key", "lo", "hi"]
+    rows = members.join(several, "key")
+    in_main = F.col("label") == F.col("main")
+    dealt = F.xxhash64("cid")
+    block = F.when(in_main, F.pmod(dealt, F.col("a"))).otherwise(F.col("a") + F.pmod(dealt, F.col("b")))
+    met = F.sequence(F.when(in_main, F.col("a")).otherwise(F.lit(0).cast("bigint")), F.col("a") + F.col("b") - 1)
+    rows = rows.select(*members.columns, block.alias("block"), F.explode(met).alias("o"))
+    return rows.select(
+        *members.columns, "block", F.least("block", "o").alias("lo"), F.greatest("block", "o").alias("hi")
+    ), ["key", "lo", "hi"]
 
 
 def bucket_links(texts: DataFrame, members: DataFrame, sketched: DataFrame, roots: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -275,10 +290,10 @@ def bucket_links(texts: DataFrame, members: DataFrame, sketched: DataFrame, root
     labelled = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "key", "cid", F.coalesce("root", "cid").alias("label")
     )
-    dealt, keys = _in_blocks(labelled)
+    dealt, keys = _in_blocks(labelled, SIGNATURES)
     dealt = dealt.join(sketched, "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
     found = dealt.mapInPandas(_in_runs(_partners, keys, ["key", "cid", "label"]), "key BIGINT, cid BIGINT, label BIGINT").distinct()
-    dealt, keys = _in_blocks(stage(found, "possible-links"))
+    dealt, keys = _in_blocks(stage(found, "possible-links"), BLOCK)
     needed = marked_rows(texts, dealt.select("cid").distinct())
     dealt = dealt.join(needed.hint("merge"), "cid").repartition(*keys).sortWithinPartitions(*keys, "block", "cid")
     return dealt.mapInPandas(_in_runs(_across, keys, ["u", "v"], n), "u BIGINT, v BIGINT").distinct()
