@@ -407,6 +407,42 @@ def test_pairs_of_rows_with_repeats_are_compared_in_batches_as_one_by_one():
         assert int(together[0][k]) == sum(1 << f for f in range(46) if near[f])
 
 
+def test_few_pairs_of_a_key_are_verified_and_none_is_lost(monkeypatch):
+    """Rows that have only frequent shingles in common are not compared; the links are those of all pairs."""
+    rng = np.random.default_rng(16)
+    for n in (3, 30, 200):
+        rows = rng.integers(1, 1 << 32, (n, 91)).astype(np.uint32)
+        rows[:, 45] = 9
+        # A third is near a few passages, with edits; in another third shingles repeat.
+        some = rng.integers(0, 4, n)
+        for k in range(0, n, 3):
+            rows[k, 20:70] = 1000 * some[k] + np.arange(50)
+            rows[k, rng.integers(0, 91, int(rng.integers(0, 12)))] = rng.integers(1, 1 << 32)
+            rows[k, : int(rng.integers(0, 20))] = 0
+        for k in range(1, n, 3):
+            rows[k] = rng.integers(1, 60, 91)
+            if k > 4 and some[k]:
+                rows[k] = rows[k - 3]
+                rows[k, rng.integers(0, 91, 4)] = rng.integers(1, 60, 4)
+        rows[:, 45], odd = 9, compact_windows._repeats(rows)
+        i, j = np.triu_indices(n, 1)
+        bits, _ = compact_windows.verify(rows, j, i, odd)
+        want = np.zeros(n, dtype=np.uint64)
+        np.bitwise_or.at(want, j, bits)
+        frame = compact_windows.pd.DataFrame(
+            {"key": 5, "rank": np.arange(n), "content": [r.tobytes() for r in rows], "at": 45, "chunk": 0, "ref": np.arange(n), "block": 0, "lo": 0, "hi": 0}
+        )
+        verified, verify = [], compact_windows.verify
+        monkeypatch.setattr(compact_windows, "verify", lambda r, a, b, o: verified.append(len(a)) or verify(r, a, b, o))
+        found = compact_windows.pd.concat(compact_windows._solve(iter([frame])))
+        monkeypatch.undo()
+        assert {(r.ref, r.starts) for r in found.itertuples()} == {(k, int(want[k])) for k in np.flatnonzero(want)}
+        pairs = set(zip(j[bits != 0].tolist(), i[bits != 0].tolist(), strict=True))
+        links = set(zip(found["ref"].tolist(), found["other"].tolist(), strict=True))
+        assert links <= pairs and (links == pairs or n > compact_windows.FEW)
+        assert n == 3 or sum(verified) < len(i) / 4
+
+
 def test_passages_in_blocks_equal_those_in_one(spark):
     rng = np.random.default_rng(13)
     shared, rows = _random_words(rng, 60), []

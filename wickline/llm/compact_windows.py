@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -24,12 +23,14 @@ NEEDED = int(np.ceil(2 * PASSAGE * SIMILARITY / (1 + SIMILARITY)))
 #: Hash functions whose windows are joined.
 HASHES = 4
 CHUNK_BYTES, PART_KEYS = 4 << 20, 1_500_000
-#: Contexts of a key that one comparison block holds; rows up to which all pairs are verified together.
-BLOCK, FEW = 2000, 32
+#: Contexts of a key that one comparison block holds; rows up to which pairs are verified together, and all pairs.
+BLOCK, FEW, TINY = 2000, 32, 3
 _BUFFER, _TEXT_BUFFER = 1 << 16, 1 << 17
 _POSITION = np.uint64((1 << 20) - 1)
 _REACH = PASSAGE - 1
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Values of a block whose minima are kept; a passage holds a whole block wherever it starts.
+_STEP = 16
 
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -76,11 +77,19 @@ def compact_windows(values: np.ndarray, lows: np.ndarray, highs: np.ndarray) ->
 
     The Cartesian tree of a range has its minimum at the root; every subsequence of ``[l, r]`` that
     contains ``c`` has its minimum there. Ranges below PASSAGE are not followed. The trees of all ranges
-    are walked level by level; minima come from a table of powers of two.
+    are walked level by level; minima come from those up to and from each place of a block of _STEP values,
+    and for the blocks between, of which such ranges have one or more, from a table of powers of two.
     """
-    n, longest = len(values), int((highs - lows + 1).max(initial=1))
-    table = np.empty((longest.bit_length(), n), dtype=np.uint64)
-    table[0] = (values & ~_POSITION) | np.arange(n, dtype=np.uint64)
+    n, longest = -(-len(values) // _STEP), int((highs - lows + 1).max(initial=1))
+    upto = np.full(n * _STEP, ~np.uint64(0))
+    upto[: len(values)] = (values & ~_POSITION) | np.arange(len(values), dtype=np.uint64)
+    upto = np.ascontiguousarray(upto.reshape(n, _STEP).T)
+    onward = upto.copy()
+    for k in range(1, _STEP):
+        np.minimum(upto[k], upto[k - 1], out=upto[k])
+        np.minimum(onward[-k - 1], onward[-k], out=onward[-k - 1])
+    table = np.empty((max(1, (longest // _STEP).bit_length()), n), dtype=np.uint64)
+    table[0] = upto[-1]
     for level in range(1, len(table)):
         half = 1 << (level - 1)
         table[level] = table[level - 1]
@@ -91,8 +100,10 @@ def compact_windows(values: np.ndarray, lows: np.ndarray, highs: np.ndarray) ->
         lows, highs = lows[good], highs[good]
         if not len(lows):
             break
-        level = np.frexp((highs - lows + 1).astype(np.float64))[1] - 1
-        best = np.minimum(table[level, lows], table[level, highs - (1 << level) + 1])
+        first, last = lows // _STEP + 1, highs // _STEP
+        level = np.frexp((last - first).astype(np.float64))[1] - 1
+        best = np.minimum(table[level, first], table[level, last - (1 << level)])
+        best = np.minimum(best, np.minimum(onward[lows % _STEP, first - 1], upto[highs % _STEP, last]))
         c = (best & _POSITION).astype(np.int64)
         found.append((lows, c, highs))
         lows, highs = np.concatenate([lows, c + 1]), np.concatenate([c - 1, highs])
@@ -115,8 +126,13 @@ def find_windows(texts: list[bytes], rank: np.ndarray) -> Found:
         begin = np.cumsum(sizes) - sizes
         docs, offsets = (np.array([h[i] for h in held], dtype=np.int64) for i in (0, 1))
         hashes = Hashes(data)
+        # The trees of all hash functions are walked together.
+        values = np.concatenate([mixed(data, 1000 + j) for j in range(HASHES)])
+        lows = (np.arange(HASHES)[:, None] * len(data) + begin).ravel()
+        windows = compact_windows(values, lows, lows + np.tile(sizes, HASHES) - 1)
+        function = windows[1] // len(data)
         for j in range(HASHES):
-            low, c, high = compact_windows(mixed(data, 1000 + j), begin, begin + sizes - 1)
+            low, c, high = (w[function == j] - j * len(data) for w in windows)
             lo, hi = np.maximum(low, c - _REACH), np.minimum(high, c + _REACH)
             content = hashes.of(lo, hi - lo + 1)
             shape = (((c - lo) << 8) | (hi - lo)).astype(np.uint64)
@@ -170,11 +186,16 @@ def _repeats(rows: np.ndarray) -> np.ndarray:
     return ((by_value[:, 1:] == by_value[:, :-1]) & (by_value[:, 1:] != 0)).any(axis=1)
 
 
+def _inside(marked: np.ndarray) -> np.ndarray:
+    """For each first column the number of marked columns in a passage that starts there."""
+    total = np.zeros((len(marked), marked.shape[1] + 1), dtype=np.int8)
+    np.cumsum(marked, axis=1, dtype=np.int8, out=total[:, 1:])
+    return total[:, PASSAGE : PASSAGE + _REACH + 1] - total[:, : _REACH + 1]
+
+
 def _whole(x: np.ndarray) -> np.ndarray:
     """For each first column whether a passage that starts there has all its shingles."""
-    missing = np.zeros((len(x), x.shape[1] + 1), dtype=np.int16)
-    np.cumsum(x == 0, axis=1, dtype=np.int16, out=missing[:, 1:])
-    return missing[:, PASSAGE : PASSAGE + _REACH + 1] == missing[:, : _REACH + 1]
+    return _inside(x == 0) == 0
 
 
 def _bits(starts: np.ndarray) -> np.ndarray:
@@ -215,6 +236,20 @@ def _plain(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray,
     row, at = np.nonzero(equal[some])
     i = (tagged[some[row], at] & np.uint64(127)).astype(np.int64)
     j = (tagged[some[row], at + 1] & np.uint64(127)).astype(np.int64)
+    # Passages at the same place in both rows are counted first: often they are all that can be near-duplicates.
+    marked = np.zeros((3, len(some), width), dtype=bool)
+    marked[0, row, i], marked[1, row, j], marked[2, row[i == j], i[i == j]] = True, True, True
+    whole = _whole(x[some]), _whole(y[some])
+    may = [w & (_inside(m) >= NEEDED) for w, m in zip(whole, marked, strict=False)]
+    sure = whole[0] & whole[1] & (_inside(marked[2]) >= NEEDED)
+    bits[0][some] = bits[1][some] = _bits(sure)
+    left = ((may[0] != sure) | (may[1] != sure)).any(axis=1)
+    left &= may[0].any(axis=1) & may[1].any(axis=1)
+    if not left.any():
+        return bits
+    own = left[row]
+    row, i, j = (np.cumsum(left) - 1)[row[own]], i[own], j[own]
+    some, whole = some[left], [w[left] for w in whole]
     # A shingle at (i, j) is in the passages that start in a rectangle.
     side = PASSAGE + 1
     edge = np.zeros(len(some) * side * side, dtype=np.int64)
@@ -222,7 +257,7 @@ def _plain(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray,
         for g, other in ((np.maximum(j - _REACH, 0), 1), (np.minimum(j, _REACH) + 1, -1)):
             edge += sign * other * np.bincount((row * side + f) * side + g, minlength=len(edge))
     common = edge.reshape(-1, side, side).astype(np.int8).cumsum(axis=1, dtype=np.int8).cumsum(axis=2, dtype=np.int8)
-    good = (common[:, :-1, :-1] >= NEEDED) & _whole(x[some])[:, :, None] & _whole(y[some])[:, None, :]
+    good = (common[:, :-1, :-1] >= NEEDED) & whole[0][:, :, None] & whole[1][:, None, :]
     bits[0][some], bits[1][some] = _bits(good.any(axis=2)), _bits(good.any(axis=1))
     return bits
 
@@ -309,6 +344,77 @@ def _possible(rows: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return plain, any_row, np.array([kinds.setdefault(c.tobytes(), len(kinds)) for c in content])
 
 
+def _rare_shingles(rows: np.ndarray, order: np.ndarray, odd: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Which columns are among the rarest shingles of a passage, so many that near-duplicates must meet there.
+
+    Passages of ``a`` and ``b`` distinct shingles with a Jaccard similarity of 4 / 5 share 4 (a + b) / 9, of which
+    the rarest is among the ``a`` - 4 (a + b) / 9 + 1 rarest of the one and likewise of the other. ``order`` counts
+    the shingles of a group from the rarest on; ``b`` is the least in the group, which begins at ``head``. For each
+    passage's start there is a counter of the shingles still to take, held as bits across four integers.
+    """
+    n, width = rows.shape
+    low = np.broadcast_to(np.maximum(np.arange(width) - _REACH, 0), rows.shape).copy()
+    distinct, whole = np.full((n, PASSAGE), PASSAGE), _whole(rows)
+    if odd.any():
+        low[odd] = _firsts(rows[odd])
+        distinct[odd] = _distinct(rows[odd], low[odd])
+    size = np.diff(np.append(head, n))
+    least = np.minimum.reduceat(np.where(whole, distinct, 2 * PASSAGE).min(axis=1), head)
+    other = np.maximum(-(-4 * distinct // 5), np.repeat(least, size)[:, None])
+    take = np.where(whole, np.maximum(distinct + 1 - -(-4 * (distinct + other) // 9), 0), 0)
+    left = [_bits((take >> k) & 1) for k in range(4)]
+    upto = np.array([(1 << k) - 1 for k in range(PASSAGE + 1)], dtype=np.uint64)
+    inside = upto[np.minimum(np.arange(width), _REACH) + 1] & ~upto[np.minimum(low, PASSAGE)]
+    inside[rows == 0] = 0
+    column = np.argsort(order, axis=1)
+    inside = np.ascontiguousarray(np.take_along_axis(inside, column, axis=1).T)
+    rare = np.zeros((width, n), dtype=bool)
+    for k in range(width):
+        less = inside[k] & (left[0] | left[1] | left[2] | left[3])
+        rare[k] = less != 0
+        for bit in range(4):
+            left[bit], less = left[bit] ^ less, less & ~left[bit]
+    out = np.zeros((n, width), dtype=bool)
+    np.put_along_axis(out, column, rare.T, axis=1)
+    return out
+
+
+def _meetings(rows: np.ndarray, odd: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(shingle, row)`` sorted, for shingles that are among the rarest of passages of several rows of a group.
+
+    Rows of a group begin at ``head``. Rows that meet at no shingle hold no near-duplicate passages.
+    """
+    n, width = rows.shape
+    group = np.repeat(np.arange(len(head), dtype=np.uint64), np.diff(np.append(head, n)))
+    code = ((group[:, None] << np.uint64(32)) | rows).ravel()
+    at = np.argsort(code, kind="stable")
+    code, row = code[at], at // width
+    new = np.concatenate([[True], code[1:] != code[:-1]])
+    shingle = np.cumsum(new) - 1
+    other = new | np.concatenate([[True], row[1:] != row[:-1]])
+    holders = np.bincount(shingle, other).astype(np.int64)
+    place = np.empty(len(holders), dtype=np.int32)
+    place[np.argsort(holders, kind="stable")] = np.arange(len(holders), dtype=np.int32)
+    index = np.empty(len(at), dtype=np.int32)
+    index[at] = shingle
+    index = index.reshape(n, width)
+    rare = _rare_shingles(rows, place[index], odd, head) & (holders[index] > 1)
+    row, column = np.nonzero(rare)
+    met = np.unique(index[row, column].astype(np.int64) * n + row)
+    shingle, row = met // n, met % n
+    several = np.bincount(shingle, minlength=len(holders))[shingle] > 1
+    return shingle[several], row[several]
+
+
+def _pairs(shingle: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows that meet at a shingle, each once, the smaller row first."""
+    after = np.searchsorted(shingle, shingle, side="right") - np.arange(len(shingle)) - 1
+    i = np.repeat(np.arange(len(shingle)), after)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+    both = np.unique(row[i] * n + row[j])
+    return both // max(n, 1), both % max(n, 1)
+
+
 class _Group:
     """Rows of one key that meet in a task: the starts found of each row, and links that connect them."""
 
@@ -328,20 +434,33 @@ class _Group:
                     self.root[self.root == self.root[k]] = self.root[early]
 
 
-def _meet(rank: np.ndarray, rows: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def _meet(
+    rank: np.ndarray, rows: np.ndarray, odd: np.ndarray, side: np.ndarray | None, shingle: np.ndarray, met: np.ndarray
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Starts found of each row, as bits, and links ``(late, early)``; with ``side`` only across sides.
 
-    No pair is left out but by bounds: a row without a possible start, rows of one document, and
-    a pair that is connected already while the later row has all its possible starts.
+    ``met`` are the rows that meet at each ``shingle``. No pair is left out but by bounds: rows that meet nowhere,
+    a row without a possible start, rows of one document, and a pair that is connected already while the
+    later row has all its possible starts.
     """
-    odd = _repeats(rows)
     plain, any_row, kind = _possible(rows, odd)
+    _, shingle, sizes = np.unique(shingle, return_inverse=True, return_counts=True)
+    ends, at_row = np.cumsum(sizes), np.argsort(met, kind="stable")
+    of_row = np.searchsorted(met[at_row], np.arange(len(rows) + 1))
     group, kinds = _Group(rank), int(kind.max()) + 1
     several, known = np.bincount(kind) > 1, {}
     order = np.argsort(rank, kind="stable")
     order = order[(any_row if odd.any() else plain)[order] != 0]
+    place = np.full(len(rows), -1)
+    place[order] = np.arange(len(order))
     for k, y in enumerate(order.tolist()):
-        x = order[k + 1 :]
+        own = shingle[at_row[of_row[y] : of_row[y + 1]]].tolist()
+        near = np.zeros(len(order) + 1, dtype=bool)
+        for s in own:
+            near[place[met[ends[s] - sizes[s] : ends[s]]]] = True
+        x = order[k + 1 + np.flatnonzero(near[k + 1 : -1])]
+        if not len(x):
+            continue
         possible = any_row[x] if odd[y] else np.where(odd[x], any_row[x], plain[x])
         # A pair without possible starts is out; a later row that has all of its own is only to be connected.
         open_ = (possible & ~group.found[x] != 0) | ((possible != 0) & (group.root[x] != group.root[y]))
@@ -377,22 +496,35 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
         size = np.diff(np.append(head, len(key)))
         found, links = np.zeros(len(key), dtype=np.uint64), []
-        # Pairs of small groups are verified together.
-        few = [head[size == n][:, None] + np.array(list(combinations(range(n), 2))).T.reshape(2, 1, -1) for n in range(2, FEW + 1) if (size == n).any()]
-        i, j = (np.concatenate([np.zeros(0, np.int64), *[f[s].ravel() for f in few]]) for s in range(2))
+        # Pairs of small groups are verified together, all of them in the smallest.
+        odd, large = _repeats(rows), np.repeat(size > TINY, size)
+        shingle, met = np.zeros((2, 0), dtype=np.int64)
+        if large.any():
+            shingle, met = _meetings(rows[large], odd[large], np.searchsorted(np.flatnonzero(large), head[size > TINY]))
+            met = np.flatnonzero(large)[met]
+        few = np.repeat(size <= FEW, size)[met]
+        i, j = _pairs(shingle[few], met[few], len(key))
+        tiny = np.flatnonzero(~large)
+        first, second = _pairs(np.repeat(np.arange(len(head)), size)[tiny], tiny, len(key))
+        i, j = np.concatenate([i, first]), np.concatenate([j, second])
         apart = (rank[i] != rank[j]) & ((key[i, 1] == key[i, 2]) | (block[i] != block[j]))
         i, j = i[apart], j[apart]
         late, early = np.where(rank[i] > rank[j], i, j), np.where(rank[i] > rank[j], j, i)
-        odd = _repeats(rows) if len(i) else np.zeros(len(rows), dtype=bool)
         for at in range(0, len(late), 4096):
             x, y = late[at : at + 4096], early[at : at + 4096]
             bits, _ = verify(rows, x, y, odd)
             np.bitwise_or.at(found, x, bits)
             links += zip(x[bits != 0].tolist(), y[bits != 0].tolist(), strict=True)
-        for lo, n in zip(head[size > FEW].tolist(), size[size > FEW].tolist(), strict=True):
-            side = block[lo : lo + n] if key[lo, 1] != key[lo, 2] else None
-            found[lo : lo + n], own = _meet(rank[lo : lo + n], rows[lo : lo + n], side)
-            links += [(lo + k, lo + e) for k, e in own]
+        # Shingles are numbered group by group, so that those of a group lie together.
+        group = np.searchsorted(head, met, side="right") - 1
+        for g in np.flatnonzero(size > FEW).tolist():
+            lo, (first, last) = head[g], np.searchsorted(group, [g, g + 1])
+            some, local = np.unique(met[first:last], return_inverse=True)
+            if not len(some):
+                continue
+            side = block[some] if key[lo, 1] != key[lo, 2] else None
+            found[some], own = _meet(rank[some], rows[some], odd[some], side, shingle[first:last], local)
+            links += [(some[k], some[e]) for k, e in own]
         x, y = np.array(links, dtype=np.int64).reshape(-1, 2).T
         # The link is noted at the later of the two documents.
         out = frame[["chunk", "ref"]].iloc[x].reset_index(drop=True)
@@ -416,17 +548,26 @@ def _open_rows(parts: int, block_rows: int):
         texts = texts_of(left)
         found = find_windows(texts.data, texts.rank)
         verdict, contexts = found.verdicts(right, parts)
-        m, out = found.more, []
-        own = np.arange(len(verdict)) == found.leader
-        chunk = int(left["chunk"].iloc[0])
-        for x in np.flatnonzero(own & (verdict >= OPEN)):
-            lo, hi, c = (int(m[name][x]) for name in ("lo", "hi", "at"))
-            values = (found.shingles[m["doc"][x]][lo : hi + 1] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            values[values == 0] = 1
-            blocks = max(1, -(-int(contexts[x]) // block_rows))
-            block = int(mixed(found.context[x : x + 1], 91)[0] % np.uint64(blocks))
-            out.append((int(found.key[x]), int(found.rank[x]), values.tobytes(), c - lo, chunk, int(x), block, blocks))
-        return pd.DataFrame(out, columns=["key", "rank", "content", "at", "chunk", "ref", "block", "blocks"])
+        m, own = found.more, np.arange(len(verdict)) == found.leader
+        x = np.flatnonzero(own & (verdict >= OPEN))
+        sizes = np.array([len(s) for s in found.shingles], dtype=np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *found.shingles]).astype(np.uint32)
+        flat[flat == 0] = 1
+        begin = (np.cumsum(sizes) - sizes)[m["doc"][x]]
+        lo, hi = begin + m["lo"][x], begin + m["hi"][x] + 1
+        blocks = np.maximum(1, -(-contexts[x] // block_rows))
+        return pd.DataFrame(
+            {
+                "key": found.key[x].astype(np.int64),
+                "rank": found.rank[x],
+                "content": [flat[i:j].tobytes() for i, j in zip(lo.tolist(), hi.tolist(), strict=True)],
+                "at": m["at"][x] - m["lo"][x],
+                "chunk": left["chunk"].iloc[0],
+                "ref": x,
+                "block": (mixed(found.context[x], 91) % blocks.astype(np.uint64)).astype(np.int64),
+                "blocks": blocks,
+            }
+        )
 
     return rows
 
