@@ -219,6 +219,20 @@ def test_language_model_scores_equal_exact_counts(spark, monkeypatch, bits):
         assert got[i].score == pytest.approx(want, abs=1e-6)
 
 
+def test_driver_holds_a_run_of_the_filter_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 997}" for j in range(200))) for i in range(60)], "doc_id INT, text STRING")
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+
+    def record(context, value):
+        sent.append(value["shards"] if isinstance(value, dict) and "shards" in value else value)
+        return broadcast(context, value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", record)
+    assert bloom_lm.scores(docs, F.lit(True)).count() == 60
+    sizes = [value.nbytes for value in sent if isinstance(value, np.ndarray)]
+    assert len(sizes) == bloom_lm.RUNS and max(sizes) <= sum(sizes) / 8
+
+
 def test_block_runs_hold_all_bigrams():
     keys = np.arange(20_000, dtype=np.uint64) << np.uint64(32)
     block = bloom_lm.block_of(keys, bloom_lm.SHARDS * 7, 3)

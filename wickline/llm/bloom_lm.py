@@ -23,8 +23,9 @@ WORD_BITS, WORD_BYTES = 21, 64
 #: The filter holds every bigram, and every word outside the dictionary, so it grows with the corpus. It is broadcast in blocks of
 #: about this many events (84 MB) one after another; each adds to the scores what its bigrams say.
 BLOCK_EVENTS = 1 << 26
-#: Bits set for each event, and parts of a block that are built in separate tasks.
-PROBES, SHARDS = 7, 64
+#: Bits set for each event, parts of a block that are built in separate tasks, and runs of parts in which a block
+#: passes the driver, one after another.
+PROBES, SHARDS, RUNS = 7, 64, 8
 #: Weight of the unigram model, in tokens, where a history is known.
 SMOOTHING = 8.0
 #: The end of a text, no word as it is white space; also the history of a text's first word.
@@ -81,17 +82,25 @@ class Dictionary:
 class Filter:
     """Events ``(key, 1) ... (key, q)`` of a block's bigrams and rare words, ``q`` growing with the logarithm of the count."""
 
-    #: The bits of all shards, one shard after another, and the bits of a shard.
-    shards: np.ndarray
+    #: The bits of all shards, one shard after another, in one array or in a list of equal runs; the bits of a shard.
+    shards: np.ndarray | list[np.ndarray]
     bits: int
 
     def quantised(self, keys: np.ndarray) -> np.ndarray:
         """``q`` of each key: the number of events found before the first that is missing."""
-        q, left, j = np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), 1
+        q = np.zeros(len(keys), dtype=np.int64)
         if not self.bits:
             return q
-        joined, size = self.shards, np.uint64(self.bits)
-        base = (shard_of(keys) * np.uint64(self.bits)).astype(np.uint64)
+        runs = self.shards if isinstance(self.shards, list) else [self.shards]
+        shard, each = shard_of(keys), np.uint64(SHARDS // len(runs))
+        for number, run in enumerate(runs):
+            own = np.flatnonzero(shard // each == np.uint64(number))
+            q[own] = self._quantised(run, keys[own], shard[own] % each)
+        return q
+
+    def _quantised(self, joined: np.ndarray, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        q, left, j = np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), 1
+        base, size = shard * np.uint64(self.bits), np.uint64(self.bits)
         while len(left):
             first, second = mixed(keys[left], 2 * j), mixed(keys[left], 2 * j + 1) | np.uint64(1)
             alive = np.arange(len(left))
@@ -123,21 +132,28 @@ class Blocks:
     n: int
     bits: int
 
-    def load(self, number: int) -> Filter:
-        """The filter of one block, each shard built in a task of its own."""
+    def load(self, number: int) -> Iterator[np.ndarray]:
+        """The filter of one block in ``RUNS`` runs, each shard built in a task of its own.
+
+        The shards are written first, so that the driver holds one run at a time.
+        """
         bits = self.bits
-        shards = np.zeros((SHARDS, bits // 8), dtype=np.uint8)
 
         def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             keys = np.concatenate([unpack_sorted(b) for b in frame["grams"]])
             q = np.concatenate([unpack(b) for b in frame["q"]]).astype(np.int64)
             return pd.DataFrame([(int(key[0]), build_shard(keys, q, bits).tobytes())], columns=["shard", "bits"])
 
-        if bits:
-            own = self.grams.filter(_block(F.col("part"), self.runs) == number)
-            for row in own.groupBy("shard").applyInPandas(build, "shard BIGINT, bits BINARY").collect():
-                shards[row.shard] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-        return Filter(shards.reshape(-1), bits)
+        if not bits:
+            return
+        own = self.grams.filter(_block(F.col("part"), self.runs) == number)
+        built = stage(own.groupBy("shard").applyInPandas(build, "shard BIGINT, bits BINARY"), "filter")
+        each = SHARDS // RUNS
+        for first in range(0, SHARDS, each):
+            shards = np.zeros((each, bits // 8), dtype=np.uint8)
+            for row in built.filter(F.col("shard").between(first, first + each - 1)).collect():
+                shards[row.shard - first] = np.frombuffer(row.bits, dtype=np.uint8)
+            yield shards.reshape(-1)
 
 
 def _block(part: Column, runs: int) -> Column:
@@ -319,11 +335,11 @@ def _gain(ids, lengths, parts, words: Dictionary, blocks: tuple[int, int, int],
     return np.bincount(text_of, gain, minlength=len(parts))
 
 
-def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], columns: list[str]) -> DataFrame:
+def _score_first(rows: DataFrame, shared, grams: list, bits: int, blocks: tuple[int, int, int], columns: list[str]) -> DataFrame:
     """``columns`` of the rows, what dictionary and first block say of each text, and the other words."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Dictionary(**shared.value)
+        words, bloom = Dictionary(**shared.value), Filter([run.value for run in grams], bits)
         unigram = words.log_unigram(words.counts)
         for batch in _slices(batches):
             ids, lengths, parts = _batch_ids(batch["text"], words.ids)
@@ -342,7 +358,7 @@ def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], c
                     "n_tokens": lengths,
                     "n_known": np.bincount(text_of, known, minlength=n).astype(np.int64),
                     "base_score": np.bincount(text_of, single, minlength=n),
-                    "gain": _gain(ids, lengths, parts, words, blocks, Filter(**grams.value)),
+                    "gain": _gain(ids, lengths, parts, words, blocks, bloom),
                     "others": others,
                 }
             )
@@ -355,12 +371,12 @@ def _score_first(rows: DataFrame, shared, grams, blocks: tuple[int, int, int], c
     return rows.mapInPandas(score, schema)
 
 
-def _score_next(scored: DataFrame, shared, grams, blocks: tuple[int, int, int]) -> DataFrame:
+def _score_next(scored: DataFrame, shared, grams: list, bits: int, blocks: tuple[int, int, int]) -> DataFrame:
     """``scored`` with what a later block says added to ``gain``."""
 
     def add(texts: pd.Series, gain: pd.Series) -> pd.Series:
         frame = pd.DataFrame({"text": texts, "gain": gain})
-        words, bloom = Dictionary(**shared.value), Filter(**grams.value)
+        words, bloom = Dictionary(**shared.value), Filter([run.value for run in grams], bits)
         out = []
         for part in _slices(iter([frame])):
             ids, lengths, parts = _batch_ids(part["text"], words.ids)
@@ -393,14 +409,16 @@ def scores(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     )
     for number in range(blocks.n):
-        grams = spark.sparkContext.broadcast(vars(blocks.load(number)))
+        grams = [spark.sparkContext.broadcast(run) for run in blocks.load(number)]
         which, more = (number, blocks.parts, blocks.runs), number < blocks.n - 1
         if number == 0:
-            known = _score_first(known, shared, grams, which, ["row", "doc_id", *(["text"] if more else [])])
+            known = _score_first(known, shared, grams, blocks.bits, which, ["row", "doc_id", *(["text"] if more else [])])
         else:
-            known = _score_next(known, shared, grams, which)
+            known = _score_next(known, shared, grams, blocks.bits, which)
         known = stage(known if more else known.drop("text"), "lm-scores")
-        grams.unpersist()
+        # The scores are in files now; the driver need not keep its copy either.
+        for run in grams:
+            run.destroy()
     other = known.select("row", F.explode("others").alias("o")).select("row", "o.word", "o.n")
     rare = words.filter(F.col("c") * (1 << WORD_BITS) < lexicon.n_tokens)
     count = F.coalesce("c", F.lit(0))
