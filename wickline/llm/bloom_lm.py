@@ -102,12 +102,16 @@ class Filter:
         q, left, j = np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), 1
         base, size = shard * np.uint64(self.bits), np.uint64(self.bits)
         while len(left):
-            first, second = mixed(keys[left], 2 * j), mixed(keys[left], 2 * j + 1) | np.uint64(1)
-            alive = np.arange(len(left))
+            at, step = mixed(keys[left], 2 * j), mixed(keys[left], 2 * j + 1) | np.uint64(1)
+            start, found = base[left], np.ones(len(left), dtype=bool)
             for t in range(PROBES):
-                at = base[left[alive]] + (first[alive] + np.uint64(t) * second[alive]) % size
-                alive = alive[(joined[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-            left = left[alive]
+                bit = start + (at - at // size * size)
+                found &= (joined[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if t < PROBES - 1 and 4 * np.count_nonzero(found) < 3 * len(found):
+                    left, at, step, start = left[found], at[found], step[found], start[found]
+                    found = np.ones(len(left), dtype=bool)
+                at = at + step
+            left = left[found]
             q[left] = j
             j += 1
         return q
@@ -348,10 +352,14 @@ def _score_first(rows: DataFrame, shared, grams: list, bits: int, blocks: tuple[
             known = ids >= 0
             # A word outside the dictionary gets its own part later.
             single = np.where(known, unigram[ids] if len(unigram) else 0.0, 0.0)
-            others: list[list[dict]] = [[] for _ in range(n)]
-            for k in np.unique(text_of[~known]):
-                rare = Counter(w for w in parts[k] if w not in words.ids)
-                others[k] = [{"word": w, "n": c} for w, c in rare.items()]
+            others: list[Counter] = [Counter() for _ in range(n)]
+            rare = np.flatnonzero(~known)
+            flat = list(chain.from_iterable(parts))
+            words_of = np.searchsorted(text_of[rare], np.arange(n + 1)).tolist()
+            rare = [flat[i] for i in rare.tolist()]
+            for k in range(n):
+                if words_of[k] < words_of[k + 1]:
+                    others[k] = Counter(rare[words_of[k] : words_of[k + 1]])
             yield pd.DataFrame(
                 {
                     **{c: batch[c].array for c in columns},
@@ -359,14 +367,15 @@ def _score_first(rows: DataFrame, shared, grams: list, bits: int, blocks: tuple[
                     "n_known": np.bincount(text_of, known, minlength=n).astype(np.int64),
                     "base_score": np.bincount(text_of, single, minlength=n),
                     "gain": _gain(ids, lengths, parts, words, blocks, bloom),
-                    "others": others,
+                    "others": [list(c) for c in others],
+                    "other_counts": [list(c.values()) for c in others],
                 }
             )
 
     own = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
     schema = (
         f"{own}, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, gain DOUBLE,"
-        " others ARRAY<STRUCT<word: BINARY, n: BIGINT>>"
+        " others ARRAY<BINARY>, other_counts ARRAY<BIGINT>"
     )
     return rows.mapInPandas(score, schema)
 
@@ -419,7 +428,9 @@ def scores(
         # The scores are in files now; the driver need not keep its copy either.
         for run in grams:
             run.destroy()
-    other = known.select("row", F.explode("others").alias("o")).select("row", "o.word", "o.n")
+    other = known.select("row", F.explode(F.arrays_zip("others", "other_counts")).alias("o")).select(
+        "row", F.col("o.others").alias("word"), F.col("o.other_counts").alias("n")
+    )
     rare = words.filter(F.col("c") * (1 << WORD_BITS) < lexicon.n_tokens)
     count = F.coalesce("c", F.lit(0))
     scale = float(lexicon.n_tokens + lexicon.n_distinct + 1)
@@ -432,7 +443,7 @@ def scores(
         )
     )
     base = F.col("base_score") + F.coalesce("more_base", F.lit(0.0))
-    return known.drop("others").join(found, "row", "left").select(
+    return known.drop("others", "other_counts").join(found, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
